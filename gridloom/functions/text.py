@@ -47,15 +47,15 @@ def _tables(fold) -> tuple[str, str, tuple[tuple[str, str], ...]]:
 def _fold(col: Column, fold) -> Column:
     source, target, many = _tables(fold)
     single = F.translate(col, source, target)
-    # Each entry is one character followed by its expansion; the split is folded to a constant.
-    entries = F.split(F.lit("\x00".join(a + b for a, b in many)), "\x00")
-    expanded = F.reduce(
-        entries,
-        single,
-        lambda text, e: F.replace(text, F.substring(e, 1, 1), F.substring(e, F.lit(2), F.length(e))),
+    # Expansions are looked up only for the distinct non-ASCII characters that are left.
+    rest = F.regexp_replace(single, r"[\x00-\x7F]+", "")
+    expansions = F.str_to_map(
+        F.lit("\x01".join(f"{a}\x02{b}" for a, b in many)), F.lit("\x01"), F.lit("\x02")
     )
-    has_many = single.rlike("[" + "".join(a for a, _ in many) + "]")
-    return F.when(has_many, expanded).otherwise(single)
+    present = F.filter(
+        F.array_distinct(F.split(rest, "")), lambda c: F.map_contains_key(expansions, c)
+    )
+    return F.reduce(present, single, lambda text, c: F.replace(text, c, F.element_at(expansions, c)))
 
 
 def _is_ascii(col: Column) -> Column:
