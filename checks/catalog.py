@@ -1,6 +1,6 @@
 """Every registered query."""
 
-from checks import q_clean, q_structure, q_text  # noqa: F401
+from checks import q_clean, q_headers, q_structure, q_text, q_values  # noqa: F401
 from checks.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
