@@ -1,6 +1,14 @@
 """Every registered query."""
 
-from checks import q_clean, q_headers, q_structure, q_text, q_values  # noqa: F401
+from checks import (  # noqa: F401
+    q_clean,
+    q_enrich,
+    q_headers,
+    q_kpi,
+    q_structure,
+    q_text,
+    q_values,
+)
 from checks.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
