@@ -3,7 +3,9 @@
 from checks import (  # noqa: F401
     q_clean,
     q_enrich,
+    q_flow,
     q_headers,
+    q_io,
     q_kpi,
     q_structure,
     q_text,

@@ -56,7 +56,7 @@ def merge_entries(current: DataFrame, added: DataFrame, keys: list[str]) -> Data
 
 def learned_values(accepted: DataFrame) -> DataFrame:
     """Resolver answers as value entries; the learnt key is the normalized value."""
-    return accepted.select(F.col("scope").alias("field"), normalize("key").alias("raw"), "standard")
+    return accepted.select(F.col("scope").alias("field"), normalize(F.col("key")).alias("raw"), "standard")
 
 
 def learned_headers(accepted: DataFrame) -> DataFrame:

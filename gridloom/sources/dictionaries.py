@@ -79,8 +79,8 @@ def _entries(maps: DataFrame) -> DataFrame:
 
 
 def value_dictionary_json(spark: SparkSession, path: str) -> DataFrame:
-    """Nested ``{field: {raw: standard}}`` from JSON."""
-    text = spark.read.text(path, wholetext=True)
+    """Nested ``{field: {raw: standard}}`` from JSON, one object per line."""
+    text = spark.read.text(path)
     nested = F.from_json("value", "map<string,map<string,string>>")
     return _entries(text.select(nested.alias("m")))
 

@@ -16,9 +16,9 @@ def parse_run_lines(lines: DataFrame) -> DataFrame:
     return lines.select("log_name", "ord", record.alias("r")).select("log_name", "ord", "r.*")
 
 
-def run_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of ``run_*.log`` files (or folders of part files); ``ord`` follows the lines."""
-    read = spark.read.text(f"{folder}/run_*.log")
+def run_lines(spark: SparkSession, folder: str, pattern: str = "run_*.log") -> DataFrame:
+    """Lines of the run logs, files or folders of part files; ``ord`` follows the lines."""
+    read = spark.read.text(f"{folder}/{pattern}")
     order = F.struct(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
@@ -30,8 +30,8 @@ def run_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def run_records(spark: SparkSession, folder: str) -> DataFrame:
-    return parse_run_lines(run_lines(spark, folder))
+def run_records(spark: SparkSession, folder: str, pattern: str = "run_*.log") -> DataFrame:
+    return parse_run_lines(run_lines(spark, folder, pattern))
 
 
 def steps_of(records: DataFrame) -> DataFrame:
