@@ -22,6 +22,7 @@ from gridloom.model import FIELDS
 from gridloom.operators import growth, headers as H, structure as S
 from gridloom.operators.headers import KNOWN_FIELDS
 from gridloom.operators.resolvers import HEADER, table_resolver
+from gridloom.session import cut_lineage
 
 _BASE = f"WITH {cells_sql()}, {RANGES_SQL}, {HEADERS_SQL}"
 _DICT = f"{_BASE}, {header_dictionary_sql()}"
@@ -99,8 +100,7 @@ def canonical_field(spark, sf):
     return named.withColumn("field", H.canonical_field(F.col("header")))
 
 
-def _main_headers(spark, sf):
-    source, shape = cells(spark, sf, True), sheets(spark, sf, True)
+def main_headers(source, shape):
     main = S.main_sheet(S.sheet_stats(source, shape))
     kept = S.keep_main(source, main)
     return S.header_cells(kept, S.header_row_by_fill(kept))
@@ -132,7 +132,7 @@ _MAIN_HEADERS = f"""WITH {cells_sql(True)}, {RANGES_SQL}, {_STATS_MAIN},
         FROM looked""",
 )
 def headers_fallback(spark, sf):
-    found = _main_headers(spark, sf)
+    found = cut_lineage(main_headers(cells(spark, sf, True), sheets(spark, sf, True)))
     dictionary = header_dictionary(found, 41)
     return H.standardize_headers(found, dictionary, FIELDS, policy="rules_if_unresolved").headers
 
@@ -153,7 +153,8 @@ def headers_fallback(spark, sf):
 )
 def headers_resolved(spark, sf):
     """Misses go to a reviewed table that knows the headers of even length."""
-    found = _main_headers(spark, sf).where(F.col("raw_header") != "")
+    found = main_headers(cells(spark, sf, True), sheets(spark, sf, True))
+    found = cut_lineage(found.where(F.col("raw_header") != ""))
     names = found.select("raw_header").distinct()
     field = F.element_at(F.array(*map(F.lit, FIELDS)), F.length("raw_header") % 11 + 1)
     reviewed = names.where(F.length("raw_header") % 2 == 0).select(

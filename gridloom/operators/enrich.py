@@ -60,14 +60,13 @@ def enrich(
     """
     rows = df if id_col in df.columns else df.withColumn(id_col, F.lit(None).cast("string"))
     blank = is_blank(F.col(id_col))
-    counted = running_count(rows, ["file_id"], ordinal, "__k", blank, width)
-    per_file = rows.groupBy("file_id").agg(
-        F.count("*").alias("nb_injects"), F.min(blank.cast("int")).alias("__all_blank")
+    counted = running_count(
+        rows, ["file_id"], ordinal, "__k", blank, width, "nb_injects", "__n_blank"
     )
-    numbered = counted.join(per_file, "file_id").withColumns(
+    numbered = counted.withColumns(
         {
-            "numero_inject": F.when(F.col("__all_blank") == 1, F.col("__k")),
+            "numero_inject": F.when(F.col("__n_blank") == F.col("nb_injects"), F.col("__k")),
             id_col: F.when(blank, F.col("__k").cast("string")).otherwise(F.col(id_col)),
         }
     )
-    return add_context(numbered.drop("__k", "__all_blank"), submissions)
+    return add_context(numbered.drop("__k", "__n_blank"), submissions)

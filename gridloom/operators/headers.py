@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from gridloom.functions.text import light_normalize, normalize, strip
 from gridloom.model import METHOD_DICT, METHOD_RESOLVER, METHOD_RULE
 from gridloom.operators.lookup import latest_per_key, lookup_join
-from gridloom.operators.resolvers import HEADER, Resolver, attach, resolve_keys
+from gridloom.operators.resolvers import HEADER, SUGGESTIONS, Resolver, attach, resolve_keys
 
 SHEET = ["file_id", "sheet_idx"]
 COLUMN = [*SHEET, "col_idx"]
@@ -131,8 +131,7 @@ def standardize_headers(
     ).distinct()
     spark = headers.sparkSession
     if resolver is None:
-        empty = spark.createDataFrame([], "scope string, key string, standard string")
-        learned = refused = empty
+        learned = refused = spark.createDataFrame([], SUGGESTIONS)
         suggested = exact.withColumns(
             {"suggestion": F.lit(None).cast("string"), "is_first": F.lit(True)}
         )

@@ -2,7 +2,8 @@
 
 A window over a whole key runs in one task. Here the order is cut into buckets of ``width``
 consecutive ordinals: a window works inside (key, bucket), one summary row per bucket is carried
-over the buckets of the key, and the carry is joined back on (key, bucket). No task sees more than
+over the buckets of the key, and the carry is joined back on (key, bucket); every bucket has its
+summary row, so the join is an inner one and both sides of it keep equal plans. No task sees more than
 one bucket of rows or one key's bucket summaries. Keys and ordinals must not be null, and ordinals
 must be unique within a key.
 """
@@ -18,9 +19,7 @@ _BUCKET = "__bucket"
 
 
 def _bucketed(df: DataFrame, keys: list[str], ordinal: str, width: int) -> DataFrame:
-    bucket = F.floor(F.col(ordinal) / F.lit(float(width)))
-    # One exchange serves the window and, where the columns agree, the bucket summary too.
-    return df.withColumn(_BUCKET, bucket).repartition(*keys, _BUCKET)
+    return df.withColumn(_BUCKET, F.floor(F.col(ordinal) / F.lit(float(width))))
 
 
 def _inside(keys: list[str], ordinal: str):
@@ -36,6 +35,9 @@ def carry_forward(
 ) -> DataFrame:
     """Replace each null in ``columns`` by the last value at an earlier ordinal of the key."""
     rows = _bucketed(df, keys, ordinal, width)
+    if set(df.columns) == {*keys, ordinal, *columns}:
+        # Window and summary need the same columns, so they can share one exchange.
+        rows = rows.repartition(*keys, _BUCKET)
     present = {c: F.when(F.col(c).isNotNull(), F.col(ordinal)) for c in columns}
     summary = rows.groupBy(*keys, _BUCKET).agg(
         *[F.max_by(c, present[c]).alias(f"__last_{c}") for c in columns]
@@ -48,7 +50,7 @@ def carry_forward(
     local = _inside(keys, ordinal).rowsBetween(W.unboundedPreceding, W.currentRow)
     filled = rows.withColumns({c: F.last(c, True).over(local) for c in columns})
     return (
-        filled.join(carry, [*keys, _BUCKET], "left")
+        filled.join(carry, [*keys, _BUCKET])
         .withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in columns})
         .select(*df.columns)
     )
@@ -61,18 +63,34 @@ def running_count(
     out: str,
     flag: Column | None = None,
     width: int = WIDTH,
+    total: str | None = None,
+    flagged_total: str | None = None,
 ) -> DataFrame:
-    """Number of rows (or of rows where ``flag`` holds) up to and including each row."""
+    """Number of rows (or of rows where ``flag`` holds) up to and including each row.
+
+    ``total`` and ``flagged_total`` name columns for the key's counts of all and of flagged rows;
+    they come from the bucket summary, without another pass.
+    """
     counted = F.lit(1) if flag is None else F.when(flag, 1).otherwise(0)
     rows = _bucketed(df.withColumn("__one", counted.cast("long")), keys, ordinal, width)
-    summary = rows.groupBy(*keys, _BUCKET).agg(F.sum("__one").alias("__n"))
-    carry = summary.select(*keys, _BUCKET, F.sum("__n").over(_before(keys)).alias("__carry"))
+    summary = rows.groupBy(*keys, _BUCKET).agg(
+        F.sum("__one").alias("__n"), F.count("*").alias("__rows")
+    )
+    whole = W.partitionBy(*keys)
+    totals = {total: "__rows", flagged_total: "__n"}
+    totals = {name: F.sum(source).over(whole) for name, source in totals.items() if name}
+    carry = summary.select(
+        *keys,
+        _BUCKET,
+        F.sum("__n").over(_before(keys)).alias("__carry"),
+        *[column.alias(name) for name, column in totals.items()],
+    )
     local = _inside(keys, ordinal).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
         rows.withColumn(out, F.sum("__one").over(local))
-        .join(carry, [*keys, _BUCKET], "left")
+        .join(carry, [*keys, _BUCKET])
         .withColumn(out, F.col(out) + F.coalesce("__carry", F.lit(0)))
-        .select(*[c for c in df.columns if c != out], out)
+        .select(*[c for c in df.columns if c != out], out, *totals)
     )
 
 
@@ -81,11 +99,13 @@ def previous_ordinal(
 ) -> DataFrame:
     """The ordinal of the preceding row of the key, null on its first row."""
     rows = _bucketed(df, keys, ordinal, width)
+    if set(df.columns) == {*keys, ordinal}:
+        rows = rows.repartition(*keys, _BUCKET)
     summary = rows.groupBy(*keys, _BUCKET).agg(F.max(ordinal).alias("__max"))
     carry = summary.select(*keys, _BUCKET, F.max("__max").over(_before(keys)).alias("__carry"))
     return (
         rows.withColumn(out, F.lag(ordinal).over(_inside(keys, ordinal)))
-        .join(carry, [*keys, _BUCKET], "left")
+        .join(carry, [*keys, _BUCKET])
         .withColumn(out, F.coalesce(out, "__carry"))
         .select(*df.columns, out)
     )

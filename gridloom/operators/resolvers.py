@@ -117,7 +117,8 @@ def resolve_keys(
         resolver(unresolved)
         .withColumn("standard", strip(F.col("standard")))
         .groupBy("scope", "key")
-        .agg(F.min("standard").alias("standard"))
+        .agg(F.min("standard").alias("standard")),
+        "answers",
     )
     closed = allowed_list(F.col("scope"), allowed)
     listed = F.coalesce(F.array_contains(closed, F.col("standard")), F.lit(True))

@@ -12,13 +12,14 @@ from gridloom.functions.text import normalize, strip
 from gridloom.model import METHOD_DICT, METHOD_OK, METHOD_RESOLVER
 from gridloom.operators.lookup import latest_per_key, lookup_join
 from gridloom.operators.resolvers import (
+    SUGGESTIONS,
     Allowed,
     Resolver,
     allowed_list,
     attach,
-    no_resolver,
     resolve_keys,
 )
+from gridloom.session import cut_lineage
 
 ROW = ["file_id", "row_idx"]
 
@@ -144,22 +145,30 @@ def standardize_values(
     keeps its raw text and an empty standard.
     """
     classified = classify(values, dictionary, allowed)
-    learned, refused = resolve_keys(
-        unresolved_keys(classified, fields), resolver or no_resolver, allowed, strict
-    )
-    keyed = classified.withColumns({"scope": F.col("field"), "key": F.col("norm")})
-    suggested = attach(keyed, learned, [*ROW, "field"])
     open_row = _is_open(fields)
-    # Only answered values need their first row; the others stay out of this aggregation.
-    order, scope = (["row_idx"], ["file_id"]) if repeat_scope == "file" else (ROW, [])
-    position = F.struct(*order)
-    firsts = (
-        suggested.where(open_row & F.col("suggestion").isNotNull())
-        .groupBy(*scope, "field", "norm")
-        .agg(F.min(position).alias("__first"))
-    )
-    placed = suggested.join(firsts, [*scope, "field", "norm"], "left")
-    repeated = F.col("suggestion").isNotNull() & (position != F.col("__first"))
+    if resolver is None:
+        spark = values.sparkSession
+        learned = refused = spark.createDataFrame([], SUGGESTIONS)
+        placed = classified.withColumn("suggestion", F.lit(None).cast("string"))
+        repeated = F.lit(False)
+    else:
+        # Three steps read the classified values: the keys to ask, the first rows, the result.
+        classified = cut_lineage(classified, "classified")
+        learned, refused = resolve_keys(
+            unresolved_keys(classified, fields), resolver, allowed, strict
+        )
+        keyed = classified.withColumns({"scope": F.col("field"), "key": F.col("norm")})
+        suggested = attach(keyed, learned, [*ROW, "field"])
+        # Only answered values need their first row; the others stay out of this aggregation.
+        order, scope = (["row_idx"], ["file_id"]) if repeat_scope == "file" else (ROW, [])
+        position = F.struct(*order)
+        firsts = (
+            suggested.where(open_row & F.col("suggestion").isNotNull())
+            .groupBy(*scope, "field", "norm")
+            .agg(F.min(position).alias("__first"))
+        )
+        placed = suggested.join(firsts, [*scope, "field", "norm"], "left")
+        repeated = F.col("suggestion").isNotNull() & (position != F.col("__first"))
     method = F.when(repeated, METHOD_DICT).otherwise(METHOD_RESOLVER)
     done = placed.select(
         *[F.col(c) for c in values.columns],

@@ -80,23 +80,24 @@ def plan_intake(
     value_dictionary: DataFrame,
     options: Options = Options(),
 ) -> Intake:
-    """The whole flow as one plan per output.
+    """The whole flow over all files.
 
-    ``submissions`` holds one registered row per file. Cleaning, headers and values stay long; the
-    kept columns and their fields meet the grid in one join, and the pivot reuses the
+    ``submissions`` holds one registered row per file. Tables that several later steps read are
+    written once (ranges, filled grid, headers, wide rows); all but the grid and the rows are small.
+    The kept columns and their fields meet the grid in one join, and the pivot reuses the
     row-partitioning of the summary-row test.
     """
     schema = options.schema
-    main = structure.main_sheet(structure.sheet_stats(cells, sheets))
+    main = cut_lineage(structure.main_sheet(structure.sheet_stats(cells, sheets)), "main")
     main_cells = structure.keep_main(cells, main)
-    ranges = find_ranges(main_cells, main, options)
+    ranges = cut_lineage(find_ranges(main_cells, main, options), "ranges")
     grid = structure.dense_grid(main_cells, ranges, options.na_tokens)
-    filled = fill_grid(grid, options)
+    filled = cut_lineage(fill_grid(grid, options), "grid")
 
-    kept = clean.filled_columns(filled, options.skip_first)
+    kept = cut_lineage(clean.filled_columns(filled, options.skip_first), "columns")
     found = structure.header_cells(main_cells, ranges).join(kept, COLUMN, "left_semi")
     named = headers.standardize_headers(
-        found,
+        cut_lineage(found, "headers"),
         header_dictionary,
         schema.fields,
         options.header_resolver,
@@ -128,6 +129,7 @@ def plan_intake(
         learned_values = spark.createDataFrame([], "field string, raw string, standard string")
 
     wide = headers.to_wide(long, ROW, schema.fields, (_HAS, list(schema.allowed)))
+    wide = cut_lineage(wide, "rows")
     kept_rows, rejected_rows = values.filter_allowed(wide, schema.allowed, _HAS)
     flags = [_HAS + f for f in schema.allowed]
     return Intake(

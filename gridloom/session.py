@@ -46,9 +46,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridloom/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage, so that later plans read the same rows again."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_dir(df.sparkSession)}/gridloom")
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and go on from there.
+
+    Later plans read the same rows again, whatever executors are lost, and know the table's size.
+    The folder's clean-up is the cluster's.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
