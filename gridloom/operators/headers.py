@@ -53,7 +53,7 @@ def _entries(dictionary: DataFrame, key: Column) -> DataFrame:
 def by_exact(headers: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Lookup of the trimmed header text; ``standard`` is null on a miss."""
     keyed = headers.withColumn("key", F.coalesce(strip(F.col("raw_header")), F.lit("")))
-    found = lookup_join(keyed, _entries(dictionary, F.col("raw")), ["key"], COLUMN)
+    found = lookup_join(keyed, _entries(dictionary, F.col("raw")), ["key"], COLUMN, bound=dictionary)
     return found.select(
         *headers.columns,
         "key",
@@ -65,7 +65,7 @@ def by_exact(headers: DataFrame, dictionary: DataFrame) -> DataFrame:
 def by_rules(headers: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Lookup of the normalized header; a miss gives an empty name and is still logged."""
     keyed = headers.withColumn("key", normalize(F.col("raw_header")))
-    found = lookup_join(keyed, _entries(dictionary, normalize(F.col("raw"))), ["key"], COLUMN)
+    found = lookup_join(keyed, _entries(dictionary, normalize(F.col("raw"))), ["key"], COLUMN, bound=dictionary)
     return found.select(
         *headers.columns,
         F.when(F.col("key") == "", "").otherwise(F.coalesce("standard", F.lit(""))).alias("standard"),
@@ -88,7 +88,7 @@ def by_rename(headers: DataFrame, dictionary: DataFrame) -> DataFrame:
         "standard", normalize(F.col("standard"))
     )
     keyed = headers.withColumn("key", normalize(F.col("raw_header")))
-    found = lookup_join(keyed, entries, ["key"], COLUMN)
+    found = lookup_join(keyed, entries, ["key"], COLUMN, bound=dictionary)
     return found.select(*headers.columns, F.coalesce("standard", "key").alias("standard"))
 
 

@@ -33,15 +33,17 @@ def lookup_join(
     spread: list[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join rows with a dictionary that has unique ``on`` keys.
 
-    A dictionary within the size bound is broadcast. A larger one is repeated once per salt and
+    A dictionary within the size bound is broadcast (``bound`` names a table that is at least as
+    large and cheaper to count, such as the stored dictionary). A larger one is repeated once per salt and
     the rows are salted by the hash of their ``spread`` columns (the row's own identity), so a key
     that holds a large part of all rows is shared by many tasks. The salt is a function of the row,
     so a lost task recomputes the same one.
     """
-    if fits_broadcast(lookup, max_rows):
+    if fits_broadcast(lookup if bound is None else bound, max_rows):
         return df.join(F.broadcast(lookup), on, how)
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

@@ -19,7 +19,9 @@ _BUCKET = "__bucket"
 
 
 def _bucketed(df: DataFrame, keys: list[str], ordinal: str, width: int) -> DataFrame:
-    return df.withColumn(_BUCKET, F.floor(F.col(ordinal) / F.lit(float(width))))
+    bucket = F.floor(F.col(ordinal) / F.lit(float(width)))
+    # Said here, the null test is part of both uses; inferred from the join, of one only.
+    return df.withColumn(_BUCKET, bucket).where(F.col(_BUCKET).isNotNull())
 
 
 def _inside(keys: list[str], ordinal: str):

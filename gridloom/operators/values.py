@@ -46,7 +46,7 @@ def standardize_exact(
 ) -> DataFrame:
     """Replace values found in the dictionary of their field; others and nulls stay."""
     entries = _entries(dictionary, F.col("raw"), "value")
-    found = lookup_join(values, entries, ["field", "value"], spread or ROW)
+    found = lookup_join(values, entries, ["field", "value"], spread or ROW, bound=dictionary)
     return found.withColumn("value", F.coalesce("standard", "value")).select(*values.columns)
 
 
@@ -60,7 +60,7 @@ def standardize_exact_wide(
             F.col("raw").alias(name), F.col("standard").alias("__std")
         )
         df = (
-            lookup_join(df, per_field, [name], spread)
+            lookup_join(df, per_field, [name], spread, bound=dictionary)
             .withColumn(name, F.coalesce("__std", name))
             .drop("__std")
             .select(*df.columns)
@@ -105,7 +105,7 @@ def classify(
         }
     )
     entries = _entries(dictionary, normalize(F.col("raw")), "norm")
-    found = lookup_join(texts, entries, ["field", "norm"], spread or ROW)
+    found = lookup_join(texts, entries, ["field", "norm"], spread or ROW, bound=dictionary)
     is_ok = F.array_contains(allowed_list(F.col("field"), allowed), F.col("raw"))
     return found.select(
         *values.columns,
