@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from gridloom.functions.text import is_blank, strip
+from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, carry_forward
 
 SHEET = ["file_id", "sheet_idx"]
@@ -71,7 +72,8 @@ def filled_columns(grid: DataFrame, skip_first: bool = True) -> DataFrame:
 
 def drop_empty_cols(grid: DataFrame, skip_first: bool = True) -> DataFrame:
     nulled = blank_to_null(grid)
-    return nulled.join(filled_columns(nulled, skip_first), COLUMN, "left_semi")
+    kept = filled_columns(nulled, skip_first)
+    return lookup_join(nulled, kept, COLUMN, ["row_idx"], "left_semi")
 
 
 def drop_parasitic_rows(grid: DataFrame, words: list[str] | None = None) -> DataFrame:

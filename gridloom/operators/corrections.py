@@ -76,4 +76,4 @@ def establishments(dimension: DataFrame) -> DataFrame:
 
 def link_establishments(dimension: DataFrame, known: DataFrame) -> DataFrame:
     names = known.select("id_etablissement", F.col("nom").alias("etablissement_nom"))
-    return dimension.join(names, "etablissement_nom", "left")
+    return lookup_join(dimension, names, ["etablissement_nom"], dimension.columns)

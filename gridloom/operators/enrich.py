@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import is_blank
+from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, running_count
 
 CONTEXT = [
@@ -13,14 +14,12 @@ CONTEXT = [
 ]
 
 
-def add_context(df: DataFrame, submissions: DataFrame) -> DataFrame:
-    """The five context columns of the file; they replace columns of the same name.
-
-    No broadcast hint: submissions grow with the files. Spark broadcasts them if their size at run
-    time allows it and splits a hot file in the join otherwise.
-    """
-    own = [c for c in df.columns if c not in CONTEXT]
-    return df.select(*own).join(submissions.select("file_id", *CONTEXT), "file_id")
+def add_context(df: DataFrame, submissions: DataFrame, ordinal: str = "row_idx") -> DataFrame:
+    """The five context columns of the file; they replace columns of the same name."""
+    own = df.select(*[c for c in df.columns if c not in CONTEXT])
+    return lookup_join(
+        own, submissions.select("file_id", *CONTEXT), ["file_id"], [ordinal], how="inner"
+    )
 
 
 def number_rows(
@@ -40,10 +39,10 @@ def fill_missing_ids(
     return counted.withColumn(id_col, filled).select(*df.columns)
 
 
-def add_counts(df: DataFrame) -> DataFrame:
+def add_counts(df: DataFrame, ordinal: str = "row_idx") -> DataFrame:
     """``nb_injects``: rows of the file, on each of its rows."""
     counts = df.groupBy("file_id").agg(F.count("*").alias("nb_injects"))
-    return df.join(counts, "file_id")
+    return lookup_join(df, counts, ["file_id"], [ordinal], how="inner")
 
 
 def enrich(
@@ -69,4 +68,4 @@ def enrich(
             id_col: F.when(blank, F.col("__k").cast("string")).otherwise(F.col(id_col)),
         }
     )
-    return add_context(numbered.drop("__k", "__n_blank"), submissions)
+    return add_context(numbered.drop("__k", "__n_blank"), submissions, ordinal)

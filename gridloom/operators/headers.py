@@ -180,6 +180,7 @@ def header_log(standardized: DataFrame) -> DataFrame:
     """One decision per non-blank header."""
     return standardized.where(F.col("method").isNotNull()).select(
         "file_id",
+        F.col("col_idx").alias("position"),
         F.lit(HEADER).alias("scope"),
         strip(F.col("raw_header")).alias("nom_original"),
         F.col("standard").alias("champ_standard"),

@@ -8,7 +8,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.lookup import lookup_join
 from gridloom.operators.metadata import missing_fields
+from gridloom.session import cut_lineage
 
 KEY = ["id_chronogramme", "id_inject"]
 
@@ -48,9 +50,9 @@ def duplicate_keys(batch: DataFrame, stored: DataFrame | None = None) -> DataFra
 
 def orphans(batch: DataFrame, dimension: DataFrame) -> DataFrame:
     """Rows whose parent is not in the dimension."""
-    return batch.where(F.col("id_chronogramme").isNotNull()).join(
-        dimension.select("id_chronogramme"), "id_chronogramme", "left_anti"
-    )
+    parented = batch.where(F.col("id_chronogramme").isNotNull())
+    known = dimension.select("id_chronogramme")
+    return lookup_join(parented, known, ["id_chronogramme"], parented.columns, "left_anti")
 
 
 def required_values(facts: DataFrame, required: list[str]) -> DataFrame:
@@ -71,21 +73,24 @@ def atomic_gate(
     ``rejected`` names each refused unit with its reasons and counts.
     """
     require_columns(batch, [unit, *KEY])
-    # Rows combine per (unit, parent) first, so a hot parent meets the dimension as one row.
+    # Rows combine per (unit, parent) and per (unit, key) first: a hot parent or a key with very many
+    # copies meets the other table as one row.
     parents = batch.groupBy(*dict.fromkeys([unit, "id_chronogramme"])).count()
-    dup = duplicate_keys(batch, stored).select(*KEY, F.lit("duplicate key").alias("reason"))
+    dup = duplicate_keys(batch, stored).select(*KEY, F.lit("duplicate key").alias("reason"), "n")
     if unit != "id_chronogramme":
-        dup = batch.join(dup, KEY)
+        keyed = batch.where(F.col("id_inject").isNotNull()).groupBy(unit, *KEY)
+        dup = keyed.agg(F.count("*").alias("n")).join(dup.drop("n"), KEY)
     parts = [
         parents.where(F.col("id_chronogramme").isNull()).select(
             unit, F.lit("null parent").alias("reason"), "count"
         ),
         orphans(parents, dimension).select(unit, F.lit("unknown parent").alias("reason"), "count"),
-        dup.groupBy(unit, "reason").count(),
+        dup.groupBy(unit, "reason").agg(F.sum("n").alias("count")),
     ]
-    rejected = (
-        reduce(DataFrame.unionByName, parts).groupBy(unit, "reason").agg(F.sum("count").alias("n"))
-    )
+    # Written once: the result, the size check and the join below all read it.
+    counted = reduce(DataFrame.unionByName, parts).groupBy(unit, "reason")
+    rejected = cut_lineage(counted.agg(F.sum("count").alias("n")), "rejected")
     bad = rejected.where(F.col(unit).isNotNull()).select(unit).distinct()
-    accepted = batch.where(F.col("id_chronogramme").isNotNull()).join(bad, unit, "left_anti")
+    parented = batch.where(F.col("id_chronogramme").isNotNull())
+    accepted = lookup_join(parented, bad, [unit], parented.columns, "left_anti")
     return Gate(accepted, rejected)

@@ -1,13 +1,24 @@
-"""Dictionary lookups: broadcast behind a size check, salted join beyond it."""
+"""Joins of many rows with a table that has unique keys.
+
+A table within a counted size bound is broadcast. Beyond it, rows and table are shuffled, and only
+the heavy keys (bounded in number) are salted, so that a key with a large part of all rows is shared
+by many tasks while the table is not multiplied.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.session import cut_lineage
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
+HEAVY_ROWS = 1_000_000
+HEAVY_KEYS = 1000
+SALTS = 256
 
 
 def fits_broadcast(
@@ -26,6 +37,17 @@ def fits_broadcast(
     return rows <= max_rows and n_bytes <= max_bytes
 
 
+def heavy_keys(df: DataFrame, on: list[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """The keys with more than ``heavy_rows`` rows, at most the ``HEAVY_KEYS`` heaviest.
+
+    A key beyond these holds less than a thousandth of all rows. The table is written out, so both
+    sides of a join salt the same keys.
+    """
+    counts = df.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > heavy_rows)
+    top = counts.orderBy(F.desc("n"), *on).limit(HEAVY_KEYS)
+    return cut_lineage(top.select(*on, F.lit(True).alias("__heavy")), "heavy")
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -34,21 +56,30 @@ def lookup_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     bound: DataFrame | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Join rows with a dictionary that has unique ``on`` keys.
+    """Join rows with a table that has unique ``on`` keys.
 
-    A dictionary within the size bound is broadcast (``bound`` names a table that is at least as
-    large and cheaper to count, such as the stored dictionary). A larger one is repeated once per salt and
-    the rows are salted by the hash of their ``spread`` columns (the row's own identity), so a key
-    that holds a large part of all rows is shared by many tasks. The salt is a function of the row,
-    so a lost task recomputes the same one.
+    ``bound`` names a table that is at least as large and cheaper to count, such as the stored
+    dictionary. ``spread`` are the columns that tell the rows of one key apart: a salt is a function
+    of the row, so a lost task recomputes the same one. Rows with a null key match nothing and are
+    spread too.
     """
     if fits_broadcast(lookup if bound is None else bound, max_rows):
         return df.join(F.broadcast(lookup), on, how)
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    repeated = lookup.withColumn("__salt", salts)
-    return salted.join(repeated, [*on, "__salt"], how).drop("__salt")
+    heavy = heavy_keys(df, on, heavy_rows)
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    # At most HEAVY_KEYS rows.
+    salted = df.join(F.broadcast(heavy), on, "left").withColumn(
+        "__salt", F.when(no_key | F.col("__heavy"), salt).otherwise(0)
+    )
+    every = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    repeated = lookup.join(F.broadcast(heavy), on, "left").withColumn("__salt", F.explode(every))
+    joined = salted.drop("__heavy").join(repeated.drop("__heavy"), [*on, "__salt"], how)
+    return joined.drop("__salt")
 
 
 def latest_per_key(entries: DataFrame, keys: list[str], order: str = "line_no") -> DataFrame:

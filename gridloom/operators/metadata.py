@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.dates import format_date
 from gridloom.functions.text import clean_ascii, safe_name
+from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, number_any, running_count
 
 # Required fields of a submission, in the order of the error text.
@@ -114,7 +115,7 @@ def unique_names(
         known = existing.select(
             F.regexp_replace("file_name", r"\.xlsx$", "").alias("base_name"), F.lit(1).alias("taken")
         ).distinct()
-        taken = named.join(known, "base_name", "left").fillna(0, ["taken"])
+        taken = lookup_join(named, known, ["base_name"], [ordinal]).fillna(0, ["taken"])
     time = F.date_format(F.current_timestamp() if at is None else at, "HHmmss")
     turn = F.col("rank") + F.col("taken")
     number = F.when(turn > 2, F.concat(F.lit("_"), (turn - 1).cast("string"))).otherwise("")

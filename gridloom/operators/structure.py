@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import is_blank, light_normalize, normalize, strip
+from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, previous_ordinal
 
 # Words that mark a main sheet, and the probed corner.
@@ -140,7 +141,8 @@ def apply_tie_choice(main: DataFrame, tied: DataFrame, choice: DataFrame) -> Dat
 
 
 def keep_main(cells: DataFrame, main: DataFrame) -> DataFrame:
-    return cells.join(main.select(*SHEET), SHEET, "left_semi")
+    """The cells of the main sheets."""
+    return lookup_join(cells, main.select(*SHEET), SHEET, ["row_idx", "col_idx"], "left_semi")
 
 
 def header_row_by_fill(cells: DataFrame, min_cells: int = 3) -> DataFrame:
@@ -295,4 +297,4 @@ def drop_null_columns(grid: DataFrame) -> DataFrame:
     kept = (
         grid.groupBy(*SHEET, "col_idx").agg(F.count("value").alias("n")).where("n > 0").drop("n")
     )
-    return grid.join(kept, [*SHEET, "col_idx"], "left_semi")
+    return lookup_join(grid, kept, [*SHEET, "col_idx"], ["row_idx"], "left_semi")

@@ -167,7 +167,7 @@ def standardize_values(
             .groupBy(*scope, "field", "norm")
             .agg(F.min(position).alias("__first"))
         )
-        placed = suggested.join(firsts, [*scope, "field", "norm"], "left")
+        placed = lookup_join(suggested, firsts, [*scope, "field", "norm"], ROW)
         repeated = F.col("suggestion").isNotNull() & (position != F.col("__first"))
     method = F.when(repeated, METHOD_DICT).otherwise(METHOD_RESOLVER)
     done = placed.select(
@@ -183,9 +183,10 @@ def standardize_values(
 
 
 def value_log(standardized: DataFrame) -> DataFrame:
-    """One decision per non-null value."""
+    """One decision per non-null value; ``position`` tells the rows of a file apart."""
     return standardized.where(F.col("method").isNotNull()).select(
         "file_id",
+        F.col("row_idx").alias("position"),
         F.col("field").alias("scope"),
         F.col("raw").alias("nom_original"),
         F.col("standard").alias("champ_standard"),

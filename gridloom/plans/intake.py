@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.model import TargetSchema
 from gridloom.operators import clean, enrich, growth, headers, integrity, metadata, structure, values
 from gridloom.operators.kpi import batch_outcome
+from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH
 from gridloom.operators.resolvers import Resolver
 from gridloom.session import cut_lineage
@@ -107,7 +108,8 @@ def plan_intake(
     picked = headers.pick_columns(named.headers, schema.fields)
     columns = kept.join(picked, [*COLUMN], "left")
 
-    long = clean.drop_parasitic_rows(filled.join(columns, COLUMN))
+    shown = lookup_join(filled, columns, COLUMN, ["row_idx"], "inner", bound=kept)
+    long = clean.drop_parasitic_rows(shown)
     log = headers.header_log(named.headers)
     if options.value_mode == "normalized":
         touched = values.touched_fields(value_dictionary, schema.allowed, schema.fields)
@@ -139,7 +141,9 @@ def plan_intake(
         rejected_rows=rejected_rows.drop(*flags),
         rejected_files=structure.without_header(main, ranges),
         dropped_columns=headers.dropped_columns(named.headers, schema.fields),
-        log=log.join(submissions.select("file_id", "id_chronogramme"), "file_id"),
+        log=lookup_join(
+            log, submissions.select("file_id", "id_chronogramme"), ["file_id"], ["position"], "inner"
+        ),
         learned_headers=growth.learned_headers(named.learned),
         learned_values=learned_values,
     )

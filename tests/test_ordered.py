@@ -53,12 +53,30 @@ def test_lookup_join_is_the_same_on_both_paths(spark):
     )
     entries = spark.range(50).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v"))
     entries = entries.unionByName(spark.createDataFrame([("hot", -1)], "key string, v long"))
-    small = lookup_join(hot, entries, ["key"], ["id"])
-    salted = lookup_join(hot, entries, ["key"], ["id"], max_rows=3)
+    hot = hot.unionByName(spark.range(3000, 3400).select("id", F.lit(None).cast("string").alias("key")))
     assert fits_broadcast(entries) and not fits_broadcast(entries, 3)
     assert not fits_broadcast(entries, max_bytes=10)
-    assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-    assert small.exceptAll(salted).count() == salted.exceptAll(small).count() == 0
+    assert {r.key for r in lookup.heavy_keys(hot.where("key IS NOT NULL"), ["key"], 200).collect()} == {"hot"}
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        some = entries.where("v < 20")
+        small = lookup_join(hot, some, ["key"], ["id"], how)
+        salted = lookup_join(hot, some, ["key"], ["id"], how, max_rows=3, heavy_rows=200)
+        assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+        assert small.exceptAll(salted).count() == salted.exceptAll(small).count() == 0
+
+
+def test_only_heavy_keys_are_repeated(spark):
+    rows = spark.range(1000).select("id", F.when(F.col("id") < 600, -1).otherwise(F.col("id")).alias("k"))
+    table = rows.select("k").distinct().withColumn("v", F.lit(1))
+    joined = lookup_join(rows, table, ["k"], ["id"], max_rows=3, heavy_rows=100)
+    per_task = joined.withColumn("t", F.spark_partition_id())
+    assert joined.count() == 1000
+    joined.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = per_task.where("k = -1").select("t").distinct().count()
+    finally:
+        joined.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spread > 1
 
 
 def test_last_duplicate_wins(spark):
@@ -77,10 +95,3 @@ def test_no_window_spans_a_whole_key(spark, function):
     # One window inside buckets, one over bucket summaries.
     assert len(windows) == 2
     assert sum("__bucket" in w.split("windowspecdefinition(")[1].split("ASC")[0] for w in windows) == 2
-
-
-def test_salts_are_a_function_of_the_row(spark):
-    assert lookup.SALTS > 1
-    frame = spark.range(100)
-    salt = F.pmod(F.xxhash64("id"), F.lit(lookup.SALTS))
-    assert frame.select(salt).collect() == frame.repartition(5).orderBy("id").select(salt).collect()
