@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.views import GRID_SQL, HEADERS_SQL, RANGES_SQL, cells, cells_sql, norm_sql, sheets, strip_sql
 from gridloom.operators import structure as S
+from gridloom.session import cut_lineage
 
 _WORDS = ["chronogramme", "exercice", "licensed"]
 
@@ -20,7 +21,8 @@ def grid(spark, sf):
 
 
 def header_texts(spark, sf):
-    return S.header_cells(cells(spark, sf), ranges(spark, sf))
+    # Headers and the dictionary over them both read this.
+    return cut_lineage(S.header_cells(cells(spark, sf), ranges(spark, sf)))
 
 
 def any_word(x, words):

@@ -103,7 +103,7 @@ def values_classified(spark, sf):
                  CASE WHEN norm = '3-medium' THEN 'Important' END AS answer,
                  row_number() OVER (PARTITION BY file_id, field, norm ORDER BY row_idx) AS rn
           FROM looked)
-        SELECT file_id, field AS scope, raw AS nom_original,
+        SELECT file_id, row_idx AS position, field AS scope, raw AS nom_original,
                CASE WHEN is_open THEN COALESCE(answer, '') ELSE COALESCE(hit, raw) END AS champ_standard,
                CASE WHEN is_open AND answer IS NOT NULL AND rn > 1 THEN 'dict' WHEN is_open THEN 'IA'
                     WHEN hit IS NOT NULL THEN 'dict' ELSE 'ok' END AS methode

@@ -44,18 +44,24 @@ def _tables(fold) -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(source), "".join(target), tuple(many)
 
 
-def _fold(col: Column, fold) -> Column:
+def _fold(col: Column, fold, drop: str) -> Column:
+    """Replace each distinct non-ASCII character that folds to something else, or drop it.
+
+    A text has few of them, so this is a handful of native replacements instead of a table lookup
+    per character. Folded letters fold to themselves, so the order does not matter.
+    """
     source, target, many = _tables(fold)
-    single = F.translate(col, source, target)
-    # Expansions are looked up only for the distinct non-ASCII characters that are left.
-    rest = F.regexp_replace(single, r"[\x00-\x7F]+", "")
     expansions = F.str_to_map(
         F.lit("\x01".join(f"{a}\x02{b}" for a, b in many)), F.lit("\x01"), F.lit("\x02")
     )
-    present = F.filter(
-        F.array_distinct(F.split(rest, "")), lambda c: F.map_contains_key(expansions, c)
-    )
-    return F.reduce(present, single, lambda text, c: F.replace(text, c, F.element_at(expansions, c)))
+
+    def folded(char: Column) -> Column:
+        single = F.regexp_replace(F.translate(char, source, target), drop, "")
+        return F.coalesce(F.try_element_at(expansions, char), single)
+
+    rest = F.regexp_replace(col, r"[\x00-\x7F]+", "")
+    changed = F.filter(F.array_distinct(F.split(rest, "")), lambda c: folded(c) != c)
+    return F.reduce(changed, col, lambda text, c: F.replace(text, c, folded(c)))
 
 
 def _is_ascii(col: Column) -> Column:
@@ -75,7 +81,7 @@ def is_blank(col: Column) -> Column:
 def normalize(col: Column) -> Column:
     """Trimmed, without accents, lower case; null becomes the empty text."""
     text = strip(F.coalesce(col.cast("string"), F.lit("")))
-    folded = F.regexp_replace(_fold(text, _base_letters), r"\p{Mn}", "")
+    folded = _fold(text, _base_letters, drop=r"\p{Mn}")
     return F.lower(F.when(_is_ascii(text), text).otherwise(folded))
 
 
@@ -91,7 +97,8 @@ def light_normalize(col: Column) -> Column:
 
 
 def _to_ascii(col: Column) -> Column:
-    folded = F.regexp_replace(_fold(col, _ascii_letters), r"[^\x00-\x7F]", "")
+    # What has no ASCII form can be a whole script: dropped at once, not character by character.
+    folded = F.regexp_replace(_fold(col, _ascii_letters, drop="^$"), r"[^\x00-\x7F]+", "")
     return F.when(_is_ascii(col), col).otherwise(folded)
 
 

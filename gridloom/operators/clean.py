@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from gridloom.functions.text import is_blank, strip
 from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, carry_forward
+from gridloom.session import cut_lineage
 
 SHEET = ["file_id", "sheet_idx"]
 ROW = [*SHEET, "row_idx"]
@@ -71,8 +72,9 @@ def filled_columns(grid: DataFrame, skip_first: bool = True) -> DataFrame:
 
 
 def drop_empty_cols(grid: DataFrame, skip_first: bool = True) -> DataFrame:
-    nulled = blank_to_null(grid)
-    kept = filled_columns(nulled, skip_first)
+    """Drop columns without values; the grid is written once, as the count and the result read it."""
+    nulled = cut_lineage(blank_to_null(grid), "grid")
+    kept = cut_lineage(filled_columns(nulled, skip_first), "columns")
     return lookup_join(nulled, kept, COLUMN, ["row_idx"], "left_semi")
 
 

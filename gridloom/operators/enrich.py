@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.text import is_blank
 from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, running_count
+from gridloom.session import cut_lineage
 
 CONTEXT = [
     "id_chronogramme", "etablissement_nom", "etablissement_type", "nom_chronogramme", "date_exercice",
@@ -42,7 +43,7 @@ def fill_missing_ids(
 def add_counts(df: DataFrame, ordinal: str = "row_idx") -> DataFrame:
     """``nb_injects``: rows of the file, on each of its rows."""
     counts = df.groupBy("file_id").agg(F.count("*").alias("nb_injects"))
-    return lookup_join(df, counts, ["file_id"], [ordinal], how="inner")
+    return lookup_join(df, cut_lineage(counts, "counts"), ["file_id"], [ordinal], how="inner")
 
 
 def enrich(

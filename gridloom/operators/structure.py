@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.text import is_blank, light_normalize, normalize, strip
 from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, previous_ordinal
+from gridloom.session import cut_lineage
 
 # Words that mark a main sheet, and the probed corner.
 SHEET_KEYWORDS = ["chronogramme", "exercice"]
@@ -294,7 +295,7 @@ def dense_grid(
 
 def drop_null_columns(grid: DataFrame) -> DataFrame:
     """Drop the columns of a grid that hold no value at all."""
-    kept = (
-        grid.groupBy(*SHEET, "col_idx").agg(F.count("value").alias("n")).where("n > 0").drop("n")
-    )
-    return lookup_join(grid, kept, [*SHEET, "col_idx"], ["row_idx"], "left_semi")
+    written = cut_lineage(grid, "grid")
+    counts = written.groupBy(*SHEET, "col_idx").agg(F.count("value").alias("n"))
+    kept = cut_lineage(counts.where("n > 0").drop("n"), "columns")
+    return lookup_join(written, kept, [*SHEET, "col_idx"], ["row_idx"], "left_semi")

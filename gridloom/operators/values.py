@@ -167,6 +167,7 @@ def standardize_values(
             .groupBy(*scope, "field", "norm")
             .agg(F.min(position).alias("__first"))
         )
+        firsts = cut_lineage(firsts, "firsts")
         placed = lookup_join(suggested, firsts, [*scope, "field", "norm"], ROW)
         repeated = F.col("suggestion").isNotNull() & (position != F.col("__first"))
     method = F.when(repeated, METHOD_DICT).otherwise(METHOD_RESOLVER)
