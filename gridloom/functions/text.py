@@ -44,6 +44,15 @@ def _tables(fold) -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(source), "".join(target), tuple(many)
 
 
+@lru_cache
+def _marks() -> str:
+    """Character class of the combining marks; the JVM's own may be of an older Unicode version."""
+    codes = [c for c in range(0x300, 0xE01F0) if unicodedata.category(chr(c)) == "Mn"]
+    starts = [c for c in codes if unicodedata.category(chr(c - 1)) != "Mn"]
+    ends = [c for c in codes if unicodedata.category(chr(c + 1)) != "Mn"]
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]"
+
+
 def _fold(col: Column, fold, drop: str) -> Column:
     """Replace each distinct non-ASCII character that folds to something else, or drop it.
 
@@ -81,7 +90,7 @@ def is_blank(col: Column) -> Column:
 def normalize(col: Column) -> Column:
     """Trimmed, without accents, lower case; null becomes the empty text."""
     text = strip(F.coalesce(col.cast("string"), F.lit("")))
-    folded = _fold(text, _base_letters, drop=r"\p{Mn}")
+    folded = _fold(text, _base_letters, drop=_marks())
     return F.lower(F.when(_is_ascii(text), text).otherwise(folded))
 
 
