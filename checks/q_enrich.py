@@ -16,6 +16,7 @@ from checks.views import (
     table,
 )
 from gridloom.operators import corrections, enrich as E, integrity as I, metadata as M
+from gridloom.session import cut_lineage
 
 _MOMENT = "2024-05-06 07:08:09"
 
@@ -339,12 +340,13 @@ def apply_corrections(spark, sf):
         ("type_inject", "high", "2-HIGH", 1),
         ("modalite", "fax", "F", 3),
     ]
-    decisions = spark.createDataFrame(
-        logged, "scope string, nom_original string, champ_standard string, every int"
+    names = ["scope", "nom_original", "champ_standard", "every"]
+    decisions = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, d)]) for d in logged])
+    key = F.col("c_custkey")
+    log = table(spark, sf, "customer").select(
+        key.alias("id_chronogramme"),
+        F.inline(F.filter(decisions, lambda d: key % d["every"] == 0)),
     )
-    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("id_chronogramme"))
-    # Four literal rows on the broadcast side.
-    log = customers.join(F.broadcast(decisions), F.col("id_chronogramme") % F.col("every") == 0)
     edited = spark.createDataFrame(
         [
             ("type_inject", "urgent", "Vital"),
@@ -363,20 +365,11 @@ def apply_corrections(spark, sf):
     f"""WITH {META_SQL},
         e AS (SELECT etablissement_nom AS nom, min(etablissement_type) AS type FROM meta
               WHERE etablissement_nom IS NOT NULL GROUP BY 1)
-        SELECT m.file_id, e.nom, e.type, m.etablissement_nom IS NOT NULL AS linked,
-               (SELECT count(*) FROM e) AS n_ids
-        FROM meta m LEFT JOIN e ON e.nom = m.etablissement_nom""",
+        SELECT m.file_id, e.nom, e.type FROM meta m LEFT JOIN e ON e.nom = m.etablissement_nom""",
 )
 def establishments(spark, sf):
     """Numbers have no meaning of their own, so the link is shown by the row it leads to."""
     meta = submissions(spark, sf)
-    known = corrections.establishments(meta)
-    linked = corrections.link_establishments(meta, known)
-    n_ids = known.agg(F.count_distinct("id_etablissement").alias("n_ids"))
-    found = known.withColumn("linked", F.lit(True))
-    return (
-        linked.select("file_id", "id_etablissement")
-        .join(found, "id_etablissement", "left")
-        .join(F.broadcast(n_ids))
-        .select("file_id", "nom", "type", F.coalesce("linked", F.lit(False)).alias("linked"), "n_ids")
-    )
+    known = cut_lineage(corrections.establishments(meta))
+    linked = corrections.link_establishments(meta, known).select("file_id", "id_etablissement")
+    return linked.join(known, "id_etablissement", "left").select("file_id", "nom", "type")

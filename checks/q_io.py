@@ -293,20 +293,29 @@ def _loaded(spark, sf):
 
 @query(
     "append_facts",
-    f"""WITH {_ACCEPTED}, n AS (SELECT count(*) AS n FROM kept)
+    f"""WITH {_ACCEPTED}
         SELECT id_chronogramme, id_inject, NULL AS horodatage, etablissement_nom,
-               CASE WHEN id_chronogramme < 120 THEN 'b1' ELSE 'b2' END AS batch_id,
-               n AS n_ids, n AS last_id
-        FROM kept, n""",
+               CASE WHEN id_chronogramme < 120 THEN 'b1' ELSE 'b2' END AS batch_id FROM kept""",
 )
 def append_facts(spark, sf):
-    stored = _loaded(spark, sf).facts()
-    ids = stored.agg(
-        F.count_distinct("id_inject_global").alias("n_ids"), F.max("id_inject_global").alias("last_id")
+    return _loaded(spark, sf).facts().select(
+        "id_chronogramme", "id_inject", "horodatage", "etablissement_nom", "batch_id"
     )
-    # One aggregate row.
-    return stored.join(F.broadcast(ids)).select(
-        "id_chronogramme", "id_inject", "horodatage", "etablissement_nom", "batch_id", "n_ids", "last_id"
+
+
+@query(
+    "fact_ids",
+    f"""WITH {_ACCEPTED}, b AS (
+          SELECT CASE WHEN id_chronogramme < 120 THEN 'b1' ELSE 'b2' END AS batch_id, count(*) AS n
+          FROM kept GROUP BY 1)
+        SELECT batch_id, n, n AS n_ids, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS last_id
+        FROM b""",
+)
+def fact_ids(spark, sf):
+    """Generated ids are unique and go on from batch to batch."""
+    ids = F.col("id_inject_global")
+    return _loaded(spark, sf).facts().groupBy("batch_id").agg(
+        F.count("*").alias("n"), F.count_distinct(ids).alias("n_ids"), F.max(ids).alias("last_id")
     )
 
 

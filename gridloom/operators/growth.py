@@ -26,9 +26,13 @@ def new_headers(headers: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def header_growth_counts(headers: DataFrame, added: DataFrame) -> DataFrame:
     """All headers found, with repeats, and how many are new."""
-    total = headers.agg(F.count("*").alias("total_headers"))
-    # Both sides are single-row aggregates.
-    return total.join(F.broadcast(added.agg(F.count("*").alias("new_headers"))))
+    both = headers.select(F.lit(1).alias("found"), F.lit(0).alias("new")).unionByName(
+        added.select(F.lit(0).alias("found"), F.lit(1).alias("new"))
+    )
+    return both.agg(
+        F.coalesce(F.sum("found"), F.lit(0)).alias("total_headers"),
+        F.coalesce(F.sum("new"), F.lit(0)).alias("new_headers"),
+    )
 
 
 def new_values(values: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -24,16 +24,13 @@ SALTS = 256
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Count rows and text bytes, reading no more than ``max_rows + 1`` rows."""
+    """Whether rows and text bytes, counted where the data lies, stay within the bounds."""
     texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     size = F.lit(0)
     for name in texts:
         size = size + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, n_bytes = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*"), F.coalesce(F.sum(size + 16 * len(df.columns)), F.lit(0)))
-        .first()
-    )
+    total = F.coalesce(F.sum(size + 16 * len(df.columns)), F.lit(0))
+    rows, n_bytes = df.agg(F.count("*"), total).first()
     return rows <= max_rows and n_bytes <= max_bytes
 
 

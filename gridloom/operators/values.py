@@ -41,12 +41,21 @@ def _entries(dictionary: DataFrame, key: Column, name: str) -> DataFrame:
     return entries.where(F.coalesce(F.col("standard"), F.lit("")) != "")
 
 
+def _of_fields(column: Column, fields: list[str] | None) -> Column:
+    """Null outside the named fields, so that their texts are neither folded nor shuffled by value."""
+    return column if fields is None else F.when(F.col("field").isin(fields), column)
+
+
 def standardize_exact(
-    values: DataFrame, dictionary: DataFrame, spread: list[str] | None = None
+    values: DataFrame,
+    dictionary: DataFrame,
+    spread: list[str] | None = None,
+    fields: list[str] | None = None,
 ) -> DataFrame:
     """Replace values found in the dictionary of their field; others and nulls stay."""
-    entries = _entries(dictionary, F.col("raw"), "value")
-    found = lookup_join(values, entries, ["field", "value"], spread or ROW, bound=dictionary)
+    keyed = values.withColumn("key", _of_fields(F.col("value"), fields))
+    entries = _entries(dictionary, F.col("raw"), "key")
+    found = lookup_join(keyed, entries, ["field", "key"], spread or ROW, bound=dictionary)
     return found.withColumn("value", F.coalesce("standard", "value")).select(*values.columns)
 
 
@@ -92,17 +101,20 @@ def touched_fields(dictionary: DataFrame, allowed: Allowed, fields: list[str]) -
 
 
 def classify(
-    values: DataFrame, dictionary: DataFrame, allowed: Allowed, spread: list[str] | None = None
+    values: DataFrame,
+    dictionary: DataFrame,
+    allowed: Allowed,
+    spread: list[str] | None = None,
+    fields: list[str] | None = None,
 ) -> DataFrame:
     """``dict`` for a dictionary hit on the normalized value, ``ok`` for an allowed value.
 
-    ``standard`` and ``method`` are null where neither applies; nulls pass through.
+    ``standard`` and ``method`` are null where neither applies; nulls and fields that are not named
+    pass through.
     """
+    text = _of_fields(F.col("value"), fields)
     texts = values.withColumns(
-        {
-            "raw": strip(F.col("value")),
-            "norm": F.when(F.col("value").isNotNull(), normalize(F.col("value"))),
-        }
+        {"raw": strip(text), "norm": F.when(text.isNotNull(), normalize(text))}
     )
     entries = _entries(dictionary, normalize(F.col("raw")), "norm")
     found = lookup_join(texts, entries, ["field", "norm"], spread or ROW, bound=dictionary)
@@ -144,7 +156,7 @@ def standardize_values(
     file (of all files with ``repeat_scope="all"``) as dictionary hits. A value without an answer
     keeps its raw text and an empty standard.
     """
-    classified = classify(values, dictionary, allowed)
+    classified = classify(values, dictionary, allowed, fields=fields)
     open_row = _is_open(fields)
     if resolver is None:
         spark = values.sparkSession

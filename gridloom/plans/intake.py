@@ -126,7 +126,8 @@ def plan_intake(
         log = log.unionByName(values.value_log(done.values))
         learned_values = growth.learned_values(done.learned)
     else:
-        long = values.standardize_exact(long, value_dictionary)
+        touched = values.touched_fields(value_dictionary, {}, schema.fields)
+        long = values.standardize_exact(long, value_dictionary, fields=touched)
         spark = cells.sparkSession
         learned_values = spark.createDataFrame([], "field string, raw string, standard string")
 
