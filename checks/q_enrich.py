@@ -16,7 +16,9 @@ from checks.views import (
     table,
 )
 from gridloom.operators import corrections, enrich as E, integrity as I, metadata as M
-from gridloom.session import cut_lineage
+from gridloom.plans.submissions import submit
+from gridloom.session import cut_lineage, scratch_path
+from gridloom.sinks.store import Store
 
 _MOMENT = "2024-05-06 07:08:09"
 
@@ -226,6 +228,23 @@ def structured_names(spark, sf):
     return named.select("file_id", "file_name")
 
 
+@query(
+    "submit_files",
+    f"""WITH {_NAMED_SQL},
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY ordinal) AS turn FROM named)
+        SELECT row_number() OVER (ORDER BY ordinal) AS id_chronogramme,
+               base || CASE WHEN turn = 1 THEN '' WHEN turn = 2 THEN '_070809'
+                            ELSE '_070809_' || (turn - 1) END || '.xlsx' AS fichier_source
+        FROM ranked""",
+)
+def submit_files(spark, sf):
+    """Naming and registration in one go, read back from the stored dimension."""
+    store = Store(spark, scratch_path(spark, "submit"))
+    store.create()
+    submit(store, submissions(spark, sf), "/inbox", "ordinal", at=_moment())
+    return store.dimension().select("id_chronogramme", "fichier_source")
+
+
 # Constraints
 
 

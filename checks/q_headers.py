@@ -22,6 +22,7 @@ from gridloom.model import FIELDS
 from gridloom.operators import growth, headers as H, structure as S
 from gridloom.operators.headers import KNOWN_FIELDS
 from gridloom.operators.resolvers import HEADER, table_resolver
+from gridloom.plans import dictionaries as plans
 from gridloom.session import cut_lineage
 
 _BASE = f"WITH {cells_sql()}, {RANGES_SQL}, {HEADERS_SQL}"
@@ -287,3 +288,67 @@ def merged_dictionary(spark, sf):
     current = per_name.select("raw", F.col("brand").alias("standard"))
     learnt = per_name.where("size > 45").select("raw", F.concat(F.lit("size "), "size").alias("standard"))
     return growth.merge_entries(current, learnt, ["raw"])
+
+
+_BY_COUNT = _STATS_MAIN.replace("contains(lower(s.sheet_name), 'exercice') DESC, ", "")
+_GROWN = f"""WITH {cells_sql(True)}, {RANGES_SQL}, {_BY_COUNT},
+    {HEADERS_SQL.replace('JOIN ranges r', 'JOIN main_ranges r')}, {header_dictionary_sql()}"""
+
+
+@query(
+    "header_growth",
+    f"""{_GROWN}
+        SELECT DISTINCT raw_header AS raw, '' AS standard
+        FROM headers ANTI JOIN dict ON dict.raw = headers.raw_header WHERE raw_header <> ''""",
+)
+def header_growth(spark, sf):
+    """From cells to new dictionary lines, over every file."""
+    source, shape = cut_lineage(cells(spark, sf, True)), cut_lineage(sheets(spark, sf, True))
+    stats = S.sheet_stats(source, shape)
+    kept = S.keep_main(source, cut_lineage(S.main_sheet(stats, use_keywords=False)))
+    found = S.header_cells(kept, S.header_row_by_fill(kept))
+    known = cut_lineage(header_dictionary(found))
+    return plans.header_growth(source, shape, known, max_files=None).added
+
+
+_WORDS = ["and", "tion", "ein", "the", "le"]
+_CANON = ["emetteur", "destinataire", "modalite", "type_inject"]
+
+
+@query(
+    "value_growth",
+    f"""WITH {cells_sql(True)}, {RANGES_SQL}, {_BY_COUNT},
+        hits AS (
+          SELECT file_id, sheet_idx, row_idx,
+                 {' + '.join(f"max(CAST(contains({norm_sql('value')}, '{k}') AS INTEGER))" for k in _WORDS)} AS n
+          FROM cells GROUP BY ALL),
+        heads AS (
+          SELECT m.file_id, m.sheet_idx, COALESCE(min(row_idx), 1) AS header_row
+          FROM main m LEFT JOIN hits h ON h.file_id = m.file_id AND h.sheet_idx = m.sheet_idx AND n >= 2
+          GROUP BY ALL),
+        headers AS (
+          SELECT c.file_id, c.sheet_idx, c.col_idx, h.header_row, {strip_sql('c.value')} AS raw_header
+          FROM cells c JOIN heads h ON c.file_id = h.file_id AND c.sheet_idx = h.sheet_idx
+           AND c.row_idx = h.header_row),
+        {header_dictionary_sql()},
+        named AS (
+          SELECT h.*, COALESCE({norm_sql('d.standard')}, {norm_sql('h.raw_header')}) AS standard
+          FROM headers h LEFT JOIN dict_norm d ON d.norm = {norm_sql('h.raw_header')})
+        SELECT DISTINCT CASE WHEN contains(n.standard, 'type') THEN 'type_inject' ELSE n.standard END
+                 AS field, {strip_sql('c.value')} AS raw, '' AS standard
+        FROM cells c JOIN named n USING (file_id, sheet_idx, col_idx)
+        WHERE n.standard IN ('etablissement_type', {', '.join(f"'{c}'" for c in _CANON)})
+          AND c.row_idx > n.header_row
+          AND length({strip_sql('c.value')}) % 3 <> 0""",
+)
+def value_growth(spark, sf):
+    """Values below headers that lead to a canonical field; every third is known already."""
+    source, shape = cut_lineage(cells(spark, sf, True)), cut_lineage(sheets(spark, sf, True))
+    main = cut_lineage(S.main_sheet(S.sheet_stats(source, shape), use_keywords=False))
+    kept = S.keep_main(source, main)
+    heads = S.header_row_by_keyword(kept, main, _WORDS).select(*S.SHEET, "header_row")
+    full = heads.withColumns({"first_col": F.lit(1), "last_col": F.lit(1_000_000)})
+    known_headers = cut_lineage(header_dictionary(S.header_cells(kept, full)))
+    texts = source.select(F.trim("value").alias("raw")).distinct().where(F.length("raw") % 3 == 0)
+    known = texts.select(F.explode(F.array(*map(F.lit, _CANON))).alias("field"), "raw")
+    return plans.value_growth(source, shape, known_headers, known, None, _WORDS)

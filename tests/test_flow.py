@@ -107,3 +107,41 @@ def test_bottom_can_be_trimmed_at_blank_rows(spark, tmp_path):
     sheet = [HEAD, ["T0", "x", "Majeur"], ["T1", "y", "Majeur"], ["", "", ""], ["", "", ""], ["note", "n", "Majeur"]]
     run(spark, parts, {("a", 1, "S"): sheet}, ["a"], trim_bottom=True)
     assert parts[0].facts().count() == 2
+
+
+def test_dictionaries_grow_from_cells(spark):
+    from gridloom.plans.dictionaries import header_growth, value_growth
+
+    sheet = [["Emetteur", "Destinataire", "Type d'inject", "Modalite"], ["A", "X", "Maj", "SMS"], ["B", "Y", "Min", "Mail"]]
+    more = [["Heure", "Canal", "Emetteur"], ["1", "2", "C"]]
+    cells, shapes = cells_of(spark, {("a", 1, "S"): sheet, ("b", 1, "S"): more})
+    no_headers = spark.createDataFrame([("x", "", 1)], "raw string, standard string, line_no long")
+    no_values = spark.createDataFrame([("x", "")], "field string, raw string")
+    first = value_growth(cells, shapes, no_headers, no_values, max_files=1).collect()
+    assert len(first) == 8 and {r.standard for r in first} == {""}
+    counts = {f: sum(r.field == f for r in first) for f in {r.field for r in first}}
+    assert counts == {"emetteur": 2, "destinataire": 2, "type_inject": 2, "modalite": 2}
+    # The second file has only one keyword, so its first row is the header all the same.
+    assert value_growth(cells, shapes, no_headers, no_values, max_files=None).count() == 9
+    known = spark.createDataFrame([("Emetteur", "", 1)], "raw string, standard string, line_no long")
+    grown = header_growth(cells, shapes, known)
+    assert sorted(r.raw for r in grown.added.collect()) == [
+        "Canal", "Destinataire", "Heure", "Modalite", "Type d'inject",
+    ]
+    assert tuple(grown.counts.first()) == (7, 5)
+
+
+def test_submissions_are_named_and_registered(spark, tmp_path):
+    from gridloom.plans.submissions import submit
+
+    store, _, _ = stores(spark, tmp_path)
+    table = [(1, "f", "/tmp/src.xlsx", "Établissement Démo", "Plan A/B", "01/02/2024"), (2, "g", "x.csv", "x", "y", "z")]
+    columns = "ordinal long, file_id string, file_path string, etablissement_nom string, nom_chronogramme string, date_exercice string"
+    rows = spark.createDataFrame(table, columns).selectExpr(
+        "*", "'L' AS lieu_exercice", "'T' AS etablissement_type", "'S' AS submitter", "'3' AS nb_injects"
+    )
+    done = [tuple(r) for r in submit(store, rows, "/data/inbox", "ordinal").collect()]
+    assert done == [("f", 1, "/data/inbox/Chronogramme_etablissement_demo_plan_a_b_2024-02-01.xlsx")]
+    row = store.dimension().first()
+    assert (row.id_chronogramme, row.nom_chronogramme, row.nb_injects) == (1, "Plan A/B", 3)
+    assert row.fichier_source.endswith("plan_a_b_2024-02-01.xlsx")
