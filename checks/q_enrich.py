@@ -162,7 +162,7 @@ _CLEAN_SQL = f"""{_DEFAULTS_SQL}, cleaned AS (
              {ascii_sql('etablissement_nom')} AS etablissement_nom,
              {ascii_sql('etablissement_type')} AS etablissement_type, {ascii_sql('submitter')} AS submitter,
              {ascii_sql('nom_fichier_excel')} AS fichier_source,
-             '2024-05-06T07:08:09.000000Z' AS date_soumission,
+             '2024-05-06T07:08:09.000000+00:00' AS date_soumission,
              COALESCE(TRY_CAST(nb_injects AS BIGINT), 0) AS nb_injects
       FROM filled WHERE etablissement_type <> '')"""
 _CLEANED = [

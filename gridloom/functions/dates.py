@@ -32,6 +32,11 @@ def format_date(col: Column, form_variant: bool = False) -> Column:
     return F.coalesce(F.date_format(parse_date(text), "yyyy-MM-dd"), fallback)
 
 
+def utc_text(moment: Column, layout: str) -> Column:
+    """A moment as UTC wall-clock text, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), layout)
+
+
 def relative_minutes(col: Column) -> Column:
     """Minutes after the start for texts such as ``T0``, ``T0+5``, ``T+1h30``, ``T0 + 5min``."""
     text = F.lower(F.regexp_replace(F.coalesce(col, F.lit("")), r"\s+", ""))

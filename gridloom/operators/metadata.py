@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.dates import format_date
+from gridloom.functions.dates import format_date, utc_text
 from gridloom.functions.text import clean_ascii, safe_name
 from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH, number_any, running_count
@@ -78,7 +78,8 @@ def clean_metadata(submissions: DataFrame, at: Column | None = None) -> DataFram
     cleaned = {name: clean_ascii(F.col(name)) for name in TEXT_FIELDS}
     cleaned["date_exercice"] = format_date(F.col("date_exercice"))
     cleaned["fichier_source"] = clean_ascii(F.col("nom_fichier_excel"))
-    cleaned["date_soumission"] = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    stamp = utc_text(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    cleaned["date_soumission"] = F.concat(stamp, F.lit("+00:00"))
     cleaned["nb_injects"] = F.coalesce(F.col("nb_injects").try_cast("long"), F.lit(0))
     return submissions.withColumns(cleaned)
 

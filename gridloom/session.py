@@ -26,19 +26,22 @@ def build_session(app: str = "gridloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _named_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a private one only where none is named (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rsplit("/", 1)[0]
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("name a shared folder in spark.checkpoint.dir")
-    folder = tempfile.mkdtemp(prefix="gridloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    named = _named_dir(spark)
+    if named:
+        return named.rstrip("/")
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("name a shared folder in spark.checkpoint.dir")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
+    # Spark puts a folder of its own below the one it was given.
+    return context.getCheckpointDir().rsplit("/", 1)[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

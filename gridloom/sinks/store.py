@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.functions.dates import utc_text
 from gridloom.functions.text import normalize
 from gridloom.model import DIMENSION, FACT, MAPPING_LOG
 from gridloom.operators.integrity import require_columns
@@ -121,7 +122,8 @@ def with_counts(dimension: DataFrame, counts: DataFrame) -> DataFrame:
 
 def log_rows(rows: DataFrame, at: Column | None = None) -> DataFrame:
     """``(id_chronogramme, scope, nom_original, champ_standard, methode)`` to full log rows."""
-    stamp = F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    moment = F.current_timestamp() if at is None else at
+    stamp = utc_text(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return rows.select(
         "id_chronogramme",
         "scope",

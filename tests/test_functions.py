@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridloom import functions as G
+from gridloom.functions.dates import utc_text
 
 
 def py_normalize(text):
@@ -96,3 +97,16 @@ def test_percent_and_rate(spark):
         G.format_pct(F.lit(0.123)).alias("c"),
     ).first()
     assert (row.a, row.b, row.c) == (0.25, 0.0, "12.3%")
+
+
+def test_utc_text_does_not_follow_the_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    moment = F.timestamp_seconds(F.lit(1_700_000_000))
+    layout = "yyyy-MM-dd'T'HH:mm:ss"
+    try:
+        for other in ("UTC", "Europe/Paris", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            row = spark.range(1).select(utc_text(moment, layout).alias("t")).first()
+            assert row.t == "2023-11-14T22:13:20"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

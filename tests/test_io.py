@@ -206,6 +206,15 @@ def test_lineage_goes_to_the_shared_folder(spark):
     assert all(shared_dir(spark) in f for f in cut.inputFiles())
 
 
+def test_a_local_session_without_shared_folder_makes_one(spark, monkeypatch):
+    from gridloom import session
+
+    monkeypatch.setattr(session, "_named_dir", lambda spark: None)
+    cut = session.cut_lineage(spark.range(3))
+    assert cut.count() == 3 and "/gridloom/" in cut.inputFiles()[0]
+    assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
 def test_stream_sees_each_file_once(spark, tmp_path):
     source, seen = tmp_path / "in", []
     frame = spark.range(3).select(F.col("id").cast("string").alias("file_id"))
