@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.common import table
 from gridloom.llm.exact_dedup import exact_groups
+from gridloom.llm.sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_sharding": op6_sharding,
 }
 
 SQL: dict[str, str] = {
