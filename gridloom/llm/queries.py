@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.common import table
 from gridloom.llm.exact_dedup import exact_groups
+from gridloom.llm.packing import pack_documents
 from gridloom.llm.sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +22,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_sharding": op6_sharding,
+    "op7_packing": op7_packing,
 }
 
 SQL: dict[str, str] = {
