@@ -69,14 +69,15 @@ def numbered_in_order(
 class WordCache(dict):
     """What ``make`` returns for a word, kept for at most ``most`` words at a time."""
 
-    def __init__(self, make: Callable[[bytes], object], most: int = 600_000):
+    def __init__(self, make: Callable[[bytes], object], most: int = 1_200_000):
         super().__init__()
         self.make, self.most = make, most
 
     def __missing__(self, word):
+        made = self.make(word)
         if len(self) >= self.most:
             self.clear()
-        made = self[word] = self.make(word)
+        self[word] = made
         return made
 
 

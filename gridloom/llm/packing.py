@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,17 +52,30 @@ def stretches(data: bytes, most: int = STRETCH) -> Iterator[bytes]:
     yield data[at:] if at else data
 
 
+@lru_cache(maxsize=1)
 def id_words(tokenizer_file: str) -> WordCache:
-    """Ids of a word, as little-endian 32-bit numbers."""
+    """Ids of a word, as little-endian 32-bit numbers; kept by the worker from task to task.
+
+    The tokenizer ignores case and never joins a letter with punctuation, so a word in capitals or
+    with a comma is looked up by its parts. Words that may hold a special token are left whole.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
 
     def ids(word: bytes) -> bytes:
+        if b"<|" not in word:
+            small = word.lower()
+            if small != word:
+                return words[small]
+            core = word.rstrip(b".,!?;:")
+            if core and core != word and core.decode("utf-8", "replace")[-1].isalpha():
+                return words[core] + words[word[len(core) :]]
         found = tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         return b"".join([i.to_bytes(4, "little") for i in found])
 
-    return WordCache(ids)
+    words = WordCache(ids)
+    return words
 
 
 def pieces_of(data: bytes, ids, capacity: int) -> Iterator[bytes]:
