@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.common import table
 from gridloom.llm.exact_dedup import exact_groups
+from gridloom.llm.jaccard_join import near_duplicates
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.sharding import shard_documents
 
@@ -26,10 +27,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), gram=4, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 SQL: dict[str, str] = {
@@ -43,5 +49,32 @@ g AS (
          row_number() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST) AS place
   FROM n)
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM g
+""",
+    "op8_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * i >= 85 * (p.n + q.n - i)),
+reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles,
+       least(d.doc_id, min(r.b)) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id
+GROUP BY d.doc_id
 """,
 }
