@@ -15,15 +15,14 @@ the pairs inside a large group of copies are never listed. Every candidate pair
 sets.
 
 Nulls and edge cases: a null or empty text, or one without words, has an empty set and no links; a
-row without an id has no links and a null component; rows that repeat an id count as one document;
-an empty table gives an empty result. Only the named columns are read; others may have any name.
+row without an id has no links and a null component; rows that repeat an id count as one document with any of
+their texts; an empty table gives an empty result. Only the named columns are read; others may have any name.
 N-grams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -33,24 +32,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import WordCache, cut_lineage, utf8
+from gridloom.llm.common import cut_lineage, utf8
 from gridloom.llm.components import components
-from gridloom.llm.packing import stretches
+from gridloom.llm.words import mixed, word_arrays
 from gridloom.operators.lookup import lookup_join
 
 GRAM = 4
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: N-grams that a task sees this often are put last in the common order; at most so many of them.
-REPEATED = 16
-FREQUENT = 1_000_000
+#: N-grams that a task sees in several sets are put last in the common order; at most so many.
+FREQUENT = 2_000_000
+#: Buckets of the counts that bound what two sets share.
+BUCKETS = 256
 #: A set of more than this many n-grams is never small, whatever the costs.
 MOST_SMALL = 40
 #: Cost of one entry of an inverted list against one subset.
 ENTRY_COST = 4
 #: N-grams held by a task while counting, and rows per batch that it returns.
 HELD = 4_000_000
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def need(a: int, b: int, percent: int = PERCENT) -> int:
@@ -63,32 +62,25 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _ODD
-    return x ^ (x >> np.uint64(29))
+def gram_sets(texts: Iterable[bytes], gram: int = GRAM) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's word n-grams; all words are one if there are fewer."""
+    for words in word_arrays(texts):
+        size = min(gram, len(words))
+        if not size:
+            yield words
+            continue
+        n = len(words) - size + 1
+        grams = np.full(n, size, np.uint64)
+        for k in range(size):
+            grams = mixed(grams + words[k : k + n])
+        grams.sort()
+        fresh = np.ones(n, dtype=bool)
+        np.not_equal(grams[1:], grams[:-1], out=fresh[1:])
+        yield grams[fresh]
 
 
-@lru_cache(maxsize=1)
-def word_hashes() -> WordCache:
-    return WordCache(xxhash.xxh3_64_intdigest)
-
-
-def gram_set(data: bytes, gram: int = GRAM) -> np.ndarray:
-    """Sorted distinct hashes of the text's word n-grams; all words are one if there are fewer."""
-    hashes = word_hashes()
-    parts = []
-    for part in stretches(data):
-        words = part.lower().split()
-        parts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
-    words = np.concatenate(parts) if len(parts) > 1 else parts[0]
-    if not len(words):
-        return words
-    size = min(gram, len(words))
-    n = len(words) - size + 1
-    grams = np.full(n, size, np.uint64)
-    for k in range(size):
-        grams = mixed(grams + words[k : k + n])
-    return np.unique(grams)
+def texts_of(batch: pa.RecordBatch) -> Iterator[bytes]:
+    return (data.as_py() for data in batch.column("data"))
 
 
 def size_classes(n: int, small: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
@@ -133,53 +125,48 @@ def subset_keys(grams: np.ndarray, small: int, percent: int = PERCENT) -> list[i
     return keys
 
 
-def _sets(docs: DataFrame, gram: int) -> DataFrame:
-    """id, n, two halves of a digest of the set."""
+def _digests(docs: DataFrame, gram: int) -> DataFrame:
+    """Rows with id, n and two halves of a digest of the set; and rows with the hash of an n-gram
+    (s1) that a task saw in n > 1 different sets, whose s2 is null."""
+    fields = ["id", "n", "s1", "s2"]
+
+    def repeated(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        grams, times = np.unique(np.concatenate(list(held.values())), return_counts=True)
+        often = times > 1
+        none = pa.nulls(int(often.sum()), pa.int64())
+        counts = pa.array(times[often].astype(np.int64))
+        hashes = pa.array(grams[often].view(np.int64))
+        return pa.RecordBatch.from_arrays([none, counts, hashes, none], names=fields)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        size = 0
         for batch in batches:
             n, first, second = [], [], []
-            for data in batch.column("data"):
-                grams = gram_set(data.as_py(), gram)
+            for grams in gram_sets(texts_of(batch), gram):
                 both = xxhash.xxh3_128_intdigest(grams.tobytes())
                 n.append(len(grams))
                 first.append((both >> 64) - (1 << 63)), second.append(both % (1 << 64) - (1 << 63))
-            columns = [batch.column("id"), n, first, second]
-            yield pa.RecordBatch.from_arrays(
-                [columns[0], *[pa.array(c, pa.int64()) for c in columns[1:]]],
-                names=["id", "n", "s1", "s2"],
-            )
+                if both not in held:
+                    held[both] = grams
+                    size += len(grams)
+                if size > HELD:
+                    yield repeated(held)
+                    held, size = {}, 0
+            made = [pa.array(c, pa.int64()) for c in (n, first, second)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *made], names=fields)
+        if held:
+            yield repeated(held)
 
     return docs.mapInArrow(digest, "id long, n long, s1 long, s2 long")
 
 
-def _frequent(docs: DataFrame, gram: int) -> np.ndarray:
-    """Hashes of n-grams that many sets have: those that single tasks saw often, the first ones."""
-
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        grams, times = np.unique(np.concatenate(held), return_counts=True)
-        often = times > 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(grams[often].view(np.int64)), pa.array(times[often].astype(np.int64))],
-            names=["h", "n"],
-        )
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for data in batch.column("data"):
-                held.append(gram_set(data.as_py(), gram))
-                size += len(held[-1])
-                if size > HELD:
-                    yield counted(held)
-                    held, size = [], 0
-        if held:
-            yield counted(held)
-
-    often = docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    first = often.where(F.col("n") >= REPEATED).orderBy(F.desc("n"), "h").limit(FREQUENT)
-    # At most FREQUENT rows, 8 MB.
-    return np.sort(first.select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+def _frequent(repeated: DataFrame) -> np.ndarray:
+    """Hashes of n-grams that many sets have, as far as single tasks saw: the most frequent."""
+    often = repeated.groupBy("s1").agg(F.sum("n").alias("n"))
+    first = often.orderBy(F.desc("n"), "s1").limit(FREQUENT).select("s1")
+    # At most FREQUENT rows, 16 MB.
+    return np.sort(first.toPandas()["s1"].to_numpy(np.int64).view(np.uint64))
 
 
 def _postings(docs: DataFrame, frequent: np.ndarray, small: int, gram: int, percent: int):
@@ -200,8 +187,7 @@ def _postings(docs: DataFrame, frequent: np.ndarray, small: int, gram: int, perc
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             rows = []
-            for i, data in zip(ids, batch.column("data"), strict=True):
-                grams = gram_set(data.as_py(), gram)
+            for i, grams in zip(ids, gram_sets(texts_of(batch), gram), strict=True):
                 if len(grams):
                     rows += [(kind, keys, len(grams), i) for kind, keys in entries(grams)]
             if rows:
@@ -219,32 +205,59 @@ def _postings(docs: DataFrame, frequent: np.ndarray, small: int, gram: int, perc
     return docs.mapInArrow(post, "listed int, key long, n long, id long")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, gram: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar, judged on their whole sets."""
+def _with_both(docs: DataFrame, pairs: DataFrame, make: Callable[[np.ndarray], np.ndarray], gram: int):
+    """The pairs (a, b) with what ``make`` makes of the set of a (x) and of b (y), as bytes."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [gram_set(data.as_py(), gram).tobytes() for data in batch.column("data")]
+            found = [make(grams).tobytes() for grams in gram_sets(texts_of(batch), gram)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(found, pa.binary())], names=["id", "grams"]
+                [batch.column("id"), pa.array(found, pa.binary())], names=["id", "made"]
             )
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = lookup_join(docs, cut_lineage(ids, "ids"), ["id"], ["id"], "left_semi")
+    whole = cut_lineage(wanted.mapInArrow(made, "id long, made binary"), "sets")
+    joined = pairs.join(whole.select(F.col("id").alias("a"), F.col("made").alias("x")), "a")
+    joined = joined.join(whole.select(F.col("id").alias("b"), F.col("made").alias("y")), "b")
+    return joined.select("a", "b", "x", "y")
+
+
+def bucket_counts(grams: np.ndarray) -> np.ndarray:
+    """Size of the set, and how many of its n-grams fall into each of ``BUCKETS`` buckets."""
+    place = (mixed(grams) >> np.uint64(64 - 8)).astype(np.int64)
+    return np.append(np.bincount(place, minlength=BUCKETS), len(grams)).astype(np.uint32)
+
+
+def _kept(joined: DataFrame, similar: Callable[[np.ndarray, np.ndarray], bool], kind: type):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for one, two in zip(batch.column("x"), batch.column("y"), strict=True):
-                x = np.frombuffer(one.as_buffer(), np.uint64)
-                y = np.frombuffer(two.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            good = [
+                similar(np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind))
+                for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = lookup_join(docs, cut_lineage(ids, "ids"), ["id"], ["id"], "left_semi")
-    whole = cut_lineage(wanted.mapInArrow(sets, "id long, grams binary").dropDuplicates(["id"]), "sets")
-    joined = pairs.join(whole.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
-    joined = joined.join(whole.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(similar, "a long, b long")
+    return joined.mapInArrow(keep, "a long, b long")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, gram: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar, judged on their whole sets.
+
+    Sets cannot share more than their bucket counts do; pairs that this rules out need no more.
+    """
+
+    def may_be(x: np.ndarray, y: np.ndarray) -> bool:
+        most = int(np.minimum(x[:-1], y[:-1]).sum())
+        return most >= need(int(x[-1]), int(y[-1]), percent)
+
+    def are(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    likely = _kept(_with_both(docs, pairs, bucket_counts, gram), may_be, np.uint32)
+    likely = cut_lineage(likely.distinct(), "likely")
+    return _kept(_with_both(docs, likely, lambda grams: grams, gram), are, np.uint64)
 
 
 def near_duplicates(
@@ -258,7 +271,9 @@ def near_duplicates(
     docs = df.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), utf8(F.col(f"`{text_col}`")).alias("data")
     )
-    sets = cut_lineage(_sets(docs, gram), "sets")
+    sets = cut_lineage(_digests(docs, gram), "sets")
+    frequent = _frequent(sets.where("s2 IS NULL").select("s1", "n"))
+    sets = sets.where("s2 IS NOT NULL")
     known = sets.where("id IS NOT NULL AND n > 0")
     copies = known.groupBy("s1", "s2").agg(F.min("id").alias("first"), F.count("*").alias("c"))
     copies = cut_lineage(copies.where("c > 1").select("s1", "s2", "first"), "copies")
@@ -273,7 +288,7 @@ def near_duplicates(
     # At most as many rows as sizes.
     sizes = {r[0]: r[1] for r in heads.count().collect()}
     small = boundary(sizes, percent)
-    postings = cut_lineage(_postings(one, _frequent(one, gram), small, gram, percent), "postings")
+    postings = cut_lineage(_postings(one, frequent, small, gram, percent), "postings")
 
     place = ["listed", "key"]
     head = F.min(F.struct("n", "id")).alias("head")

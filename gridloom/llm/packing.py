@@ -16,7 +16,6 @@ named columns are read, so others may have any name.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,11 +26,10 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import WordCache, cut_lineage, numbered_in_order, utf8
 from gridloom.llm.packing_plan import packing_plan
+from gridloom.llm.words import stretches
 
 CAPACITY = 2048
 END = (0).to_bytes(4, "little")
-STRETCH = 1 << 20
-_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
 
 def default_tokenizer() -> str:
@@ -40,18 +38,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def stretches(data: bytes, most: int = STRETCH) -> Iterator[bytes]:
-    """The text in parts of about ``most`` bytes, cut at ASCII white space only."""
-    at = 0
-    while len(data) - at > most:
-        space = _SPACE.search(data, at + most)
-        if space is None:
-            break
-        yield data[at : space.start()]
-        at = space.end()
-    yield data[at:] if at else data
-
-
 @lru_cache(maxsize=1)
 def id_words(tokenizer_file: str) -> WordCache:
     """Ids of a word, as little-endian 32-bit numbers; kept by the worker from task to task.

@@ -57,10 +57,8 @@ WITH RECURSIVE words AS (
     '[^\x20\x09-\x0D]+') AS w
   FROM documents),
 grams AS (
-  SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))
-    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
-  FROM words),
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM words, unnest(range(1, greatest(len(w) - 2, least(len(w), 1) + 1))) AS t(i)),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 shared AS (
   SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
