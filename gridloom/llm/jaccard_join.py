@@ -41,7 +41,7 @@ GRAM = 4
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: N-grams that a task sees in several sets are put last in the common order; at most so many.
-FREQUENT = 2_000_000
+FREQUENT = 250_000
 #: Buckets of the counts that bound what two sets share.
 BUCKETS = 256
 #: A set of more than this many n-grams is never small, whatever the costs.
@@ -163,10 +163,16 @@ def _digests(docs: DataFrame, gram: int) -> DataFrame:
 
 def _frequent(repeated: DataFrame) -> np.ndarray:
     """Hashes of n-grams that many sets have, as far as single tasks saw: the most frequent."""
-    often = repeated.groupBy("s1").agg(F.sum("n").alias("n"))
-    first = often.orderBy(F.desc("n"), "s1").limit(FREQUENT).select("s1")
-    # At most FREQUENT rows, 16 MB.
-    return np.sort(first.toPandas()["s1"].to_numpy(np.int64).view(np.uint64))
+    often = cut_lineage(repeated.groupBy("s1").agg(F.sum("n").alias("n")), "repeated")
+    least, room = 0, FREQUENT
+    for n, times in often.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        room -= times
+        if room < 0:
+            break
+        least = n
+    # At most FREQUENT rows, 2 MB.
+    first = often.where(F.col("n") >= least) if least else often.limit(0)
+    return np.sort(first.select("s1").toPandas()["s1"].to_numpy(np.int64).view(np.uint64))
 
 
 def _postings(docs: DataFrame, frequent: np.ndarray, small: int, gram: int, percent: int):
