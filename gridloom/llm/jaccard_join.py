@@ -8,9 +8,10 @@ and large is the size with the least total cost, from the number of sets of each
 
 The common order puts n-grams that many documents repeat last and goes by hash otherwise, so lists
 stay short. Which n-grams are put last decides about cost only, never about results; so the list of
-them may be bounded (``FREQUENT``). From a list, its first set is compared with the others (a star).
-Sets that this has linked need no further comparison with each other; what is left are pairs
-across components, which are all compared. So all links that matter for the components are found, but
+them may be bounded (``FREQUENT``). From a list, its most typical set is compared with the others (a
+star), then in some rounds each set outside the list's largest component with a set inside. Sets that
+this has linked need no further comparison with each other; what is left are pairs across
+components, which are all compared. So all links that matter for the components are found, but
 the pairs inside a large group of copies are never listed. Every candidate pair is checked on whole
 sets.
 
@@ -31,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from gridloom.llm.common import cut_lineage, utf8
 from gridloom.llm.components import components
@@ -40,8 +42,14 @@ from gridloom.operators.lookup import lookup_join
 GRAM = 4
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: N-grams that a task sees in several sets are put last in the common order; at most so many.
+#: N-grams known to be in several sets are put last in the common order; at most so many.
 FREQUENT = 250_000
+#: Sets that share an entry of a list before its n-gram counts as frequent.
+SHARED = 3
+#: Rounds in which every set outside a list's main component is compared with one set inside.
+ROUNDS = 1
+#: Entries of a list that a task puts in order together.
+TOGETHER = 20_000
 #: Buckets of the counts that bound what two sets share.
 BUCKETS = 256
 #: A set of more than this many n-grams is never small, whatever the costs.
@@ -161,33 +169,49 @@ def _digests(docs: DataFrame, gram: int) -> DataFrame:
     return docs.mapInArrow(digest, "id long, n long, s1 long, s2 long")
 
 
-def _frequent(repeated: DataFrame) -> np.ndarray:
-    """Hashes of n-grams that many sets have, as far as single tasks saw: the most frequent."""
-    often = cut_lineage(repeated.groupBy("s1").agg(F.sum("n").alias("n")), "repeated")
+def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (s1) of frequent n-grams, sorted, and the power of two of their counts (n)."""
+    often = cut_lineage(counts.groupBy("s1").agg(F.sum("n").alias("n")), "repeated")
     least, room = 0, FREQUENT
     for n, times in often.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
         room -= times
         if room < 0:
             break
         least = n
-    # At most FREQUENT rows, 2 MB.
+    # At most FREQUENT rows, 4 MB.
     first = often.where(F.col("n") >= least) if least else often.limit(0)
-    return np.sort(first.select("s1").toPandas()["s1"].to_numpy(np.int64).view(np.uint64))
-
-
-def _postings(docs: DataFrame, frequent: np.ndarray, small: int, gram: int, percent: int):
-    """listed (0 inverted list, 1 subset), key, n, id."""
+    found = first.select("s1", F.floor(F.log2("n")).cast("int").alias("class")).toPandas()
+    hashes = found["s1"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], found["class"].to_numpy(np.int8)[order]
+
+
+def in_order(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
+    """The set in the common order, by class of frequency and then by hash; and how many n-grams
+    are frequent."""
+    last, classes = frequent
+    if not len(last):
+        return grams, 0
+    at = np.minimum(np.searchsorted(last, grams), len(last) - 1)
+    often = last[at] == grams
+    level = np.where(often, classes[at], np.int8(-1))
+    return grams[np.argsort(level, kind="stable")], int(often.sum())
+
+
+def _postings(docs: DataFrame, frequent: tuple, small: int, gram: int, percent: int) -> DataFrame:
+    """listed (0 inverted list, 1 subset), key, n, id, rank (the least heads its list), and left:
+    how many n-grams of the set come with or after the entry in the common order."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def entries(grams: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        n, last = len(grams), shared.value
+    def entries(grams: np.ndarray) -> Iterator[tuple[int, np.ndarray, int]]:
+        n = len(grams)
         if n <= small:
             for keys in subset_keys(grams, small, percent):
-                yield 1, keys
+                yield 1, keys, n
         if 100 * n >= percent * (small + 1):
-            at = np.minimum(np.searchsorted(last, grams), max(0, len(last) - 1))
-            often = last[at] == grams if len(last) else np.zeros(n, dtype=bool)
-            yield 0, np.concatenate([grams[~often], grams[often]])[: prefix_size(n, percent)]
+            ordered, often = in_order(grams, shared.value)
+            # A set of n-grams that others have too is in the middle of its copies.
+            yield 0, ordered[: prefix_size(n, percent)], 1000 * (n - often) // n
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,20 +219,22 @@ def _postings(docs: DataFrame, frequent: np.ndarray, small: int, gram: int, perc
             rows = []
             for i, grams in zip(ids, gram_sets(texts_of(batch), gram), strict=True):
                 if len(grams):
-                    rows += [(kind, keys, len(grams), i) for kind, keys in entries(grams)]
+                    rows += [(kind, k, len(grams), i, rank) for kind, k, rank in entries(grams)]
             if rows:
                 times = [len(r[1]) for r in rows]
+                each = [np.repeat([r[c] for r in rows], times) for c in (0, 2, 3, 4)]
+                after = [r[2] - np.arange(k) if r[0] == 0 else np.full(k, r[2]) for r, k in zip(rows, times)]
+                keys = pa.array(np.concatenate([r[1] for r in rows]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.repeat(np.array([r[0] for r in rows], np.int32), times)),
-                        pa.array(np.concatenate([r[1] for r in rows]).view(np.int64)),
-                        pa.array(np.repeat(np.array([r[2] for r in rows], np.int64), times)),
-                        pa.array(np.repeat(np.array([r[3] for r in rows], np.int64), times)),
+                        pa.array(each[0].astype(np.int32)),
+                        keys,
+                        *[pa.array(c.astype(np.int64)) for c in [*each[1:], np.concatenate(after)]],
                     ],
-                    names=["listed", "key", "n", "id"],
+                    names=["listed", "key", "n", "id", "rank", "left"],
                 )
 
-    return docs.mapInArrow(post, "listed int, key long, n long, id long")
+    return docs.mapInArrow(post, "listed int, key long, n long, id long, rank long, left long")
 
 
 def _with_both(docs: DataFrame, pairs: DataFrame, make: Callable[[np.ndarray], np.ndarray], gram: int):
@@ -266,6 +292,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, gram: int, percent: int) -> Dat
     return _kept(_with_both(docs, likely, lambda grams: grams, gram), are, np.uint64)
 
 
+def _across(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several components, with theirs and the list's largest."""
+    linked = cut_lineage(components(links), "linked")
+    lists = lookup_join(lists, linked, ["id"], ["key"])
+    lists = cut_lineage(lists.withColumn("component", F.coalesce("component", "id")), "lists")
+    parts = lists.groupBy("key", "component").agg(F.count("*").alias("k"))
+    parts = parts.groupBy("key").agg(
+        F.max(F.struct("k", "component")).alias("most"), F.count("*").alias("parts")
+    )
+    several = parts.where("parts > 1").select("key", F.col("most.component").alias("main"))
+    return cut_lineage(lists.join(several, "key"), "several")
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -278,7 +317,7 @@ def near_duplicates(
         F.col(f"`{id_col}`").cast("long").alias("id"), utf8(F.col(f"`{text_col}`")).alias("data")
     )
     sets = cut_lineage(_digests(docs, gram), "sets")
-    frequent = _frequent(sets.where("s2 IS NULL").select("s1", "n"))
+    repeated = sets.where("s2 IS NULL").select("s1", "n")
     sets = sets.where("s2 IS NOT NULL")
     known = sets.where("id IS NOT NULL AND n > 0")
     copies = known.groupBy("s1", "s2").agg(F.min("id").alias("first"), F.count("*").alias("c"))
@@ -294,42 +333,58 @@ def near_duplicates(
     # At most as many rows as sizes.
     sizes = {r[0]: r[1] for r in heads.count().collect()}
     small = boundary(sizes, percent)
+    # What a first order puts into several lists comes last in the second one.
+    counts = _postings(one, _frequent(repeated), small, gram, percent).where("listed = 0")
+    counts = counts.groupBy(F.col("key").alias("s1")).agg(F.count("*").alias("n"))
+    counts = cut_lineage(counts.where(F.col("n") >= SHARED), "counts")
+    frequent = _frequent(repeated.unionByName(counts))
     postings = cut_lineage(_postings(one, frequent, small, gram, percent), "postings")
 
     place = ["listed", "key"]
-    head = F.min(F.struct("n", "id")).alias("head")
+    head = F.min(F.struct("rank", "n", "id", "left")).alias("head")
     lists = postings.groupBy(*place).agg(head, F.count("*").alias("c")).where("c > 1")
-    lists = lists.select(*place, F.col("head.id").alias("hub"), F.col("head.n").alias("hub_n"))
+    lists = lists.select(*place, "c", *[F.col(f"head.{c}").alias(f"hub_{c}") for c in ("id", "n", "left")])
     lists = cut_lineage(postings.join(lists, place), "lists")
 
-    def near(x: str, y: str):
-        return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
-
-    stars = lists.where(near("n", "hub_n") & (F.col("id") != F.col("hub")))
-    stars = stars.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    stars = cut_lineage(stars, "stars")
-    links = cut_lineage(_verified(one, stars, gram, percent), "links")
-    linked = cut_lineage(components(links), "linked")
-
-    # Lists whose sets are not all in one component: across components every pair is compared.
-    lists = lookup_join(lists.where("listed = 0").select("key", "n", "id"), linked, ["id"], ["key"])
-    lists = cut_lineage(lists.withColumn("component", F.coalesce("component", "id")), "lists")
-    parts = lists.groupBy("key", "component").agg(F.count("*").alias("c"))
-    parts = parts.groupBy("key").agg(
-        F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts")
-    )
-    several = parts.where("parts > 1").select("key", F.col("most.component").alias("main"))
-    several = cut_lineage(lists.join(several, "key"), "several")
+    def pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
+        return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+    def near(n: str, left: str, other_n: str, other_left: str):
+        """Whether two sets may be similar if an entry of both is the first that they share: then
+        they share no more than either has from there on. A similar pair passes at that entry."""
+        shared = F.lit(percent) * (F.col(n) + F.col(other_n))
+        return F.least(F.col(left), F.col(other_left)) * (100 + percent) >= shared
+
+    stars = lists.where(near("n", "left", "hub_n", "hub_left") & (F.col("id") != F.col("hub_id")))
+    tested = cut_lineage(pairs(stars, "id", "hub_id"), "stars")
+    links = cut_lineage(_verified(one, tested, gram, percent), "links")
+    lists = lists.where("listed = 0").select("key", "c", "n", "id", "left")
+    for turn in range(ROUNDS):
+        several = _across(lists, links)
+        part = F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / TOGETHER))
+        order = W.partitionBy("key", part).orderBy(F.xxhash64(F.lit(turn), "key", "id"), "id")
+        inside = F.when(F.col("component") == F.col("main"), F.struct("id", "n", "left"))
+        before = F.last(inside, True).over(order.rowsBetween(W.unboundedPreceding, -1))
+        met = several.withColumn("met", before).where("component != main AND met IS NOT NULL")
+        met = met.where(near("n", "left", "met.n", "met.left")).withColumn("y", F.col("met.id"))
+        met = cut_lineage(pairs(met, "id", "y").join(tested, ["a", "b"], "left_anti"), "met")
+        links = links.union(cut_lineage(_verified(one, met, gram, percent), "links"))
+        tested = tested.union(met)
+
+    # What is still apart: across components every pair of a list is compared.
+    several = _across(lists, links)
     side = several.where("component != main").select(
-        "key", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc")
-    )
-    across = side.join(several, "key").where(
-        (F.col("xc") != F.col("component")) & near("xn", "n")
+        "key",
+        F.col("id").alias("x"),
+        F.col("n").alias("xn"),
+        F.col("left").alias("x_left"),
+        F.col("component").alias("xc"),
     )
-    across = across.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    across = cut_lineage(across.join(stars, ["a", "b"], "left_anti"), "across")
-    more = cut_lineage(_verified(one, across, gram, percent), "links")
-    found = cut_lineage(components(links.union(more)), "components")
+    apart = (F.col("xc") != F.col("component")) & near("xn", "x_left", "n", "left")
+    across = pairs(side.join(several, "key").where(apart), "x", "id")
+    across = cut_lineage(across.join(tested, ["a", "b"], "left_anti"), "across")
+    links = links.union(cut_lineage(_verified(one, across, gram, percent), "links"))
+    found = cut_lineage(components(links), "components")
 
     out = lookup_join(sets, found.withColumnRenamed("id", "first"), ["first"], ["id"])
     return out.select(
