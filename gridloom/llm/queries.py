@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.llm.common import table
 from gridloom.llm.exact_dedup import exact_groups
 from gridloom.llm.jaccard_join import near_duplicates
+from gridloom.llm.language_id import identify
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.sharding import shard_documents
 
@@ -31,11 +32,17 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), gram=4, percent=85)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_language_id": op9_language_id,
 }
 
 SQL: dict[str, str] = {
