@@ -15,9 +15,9 @@ __all__ = [
     "WordCache",
     "cut_lineage",
     "numbered_in_order",
-    "rows_out",
     "scratch_path",
     "shuffle_partitions",
+    "sliced",
     "table",
     "utf8",
 ]
@@ -81,12 +81,8 @@ class WordCache(dict):
         return made
 
 
-def rows_out(schema: pa.Schema, columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-    )
-
-
-def texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task makes of one stays small."""
     for batch in batches:
-        yield batch, batch.column(column).to_pylist()
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gridloom.llm.common import cut_lineage, utf8
+from gridloom.llm.common import cut_lineage, sliced, utf8
 from gridloom.llm.components import components
 from gridloom.llm.words import mixed, word_arrays
 from gridloom.operators.lookup import lookup_join
@@ -56,8 +56,8 @@ BUCKETS = 256
 MOST_SMALL = 40
 #: Cost of one entry of an inverted list against one subset.
 ENTRY_COST = 4
-#: N-grams held by a task while counting, and rows per batch that it returns.
-HELD = 4_000_000
+#: N-grams held by a task while counting.
+HELD = 1_000_000
 
 
 def need(a: int, b: int, percent: int = PERCENT) -> int:
@@ -149,7 +149,7 @@ def _digests(docs: DataFrame, gram: int) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         size = 0
-        for batch in batches:
+        for batch in sliced(batches):
             n, first, second = [], [], []
             for grams in gram_sets(texts_of(batch), gram):
                 both = xxhash.xxh3_128_intdigest(grams.tobytes())
@@ -214,7 +214,7 @@ def _postings(docs: DataFrame, frequent: tuple, small: int, gram: int, percent:
             yield 0, ordered[: prefix_size(n, percent)], 1000 * (n - often) // n
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             rows = []
             for i, grams in zip(ids, gram_sets(texts_of(batch), gram), strict=True):
@@ -241,7 +241,7 @@ def _with_both(docs: DataFrame, pairs: DataFrame, make: Callable[[np.ndarray], n
     """The pairs (a, b) with what ``make`` makes of the set of a (x) and of b (y), as bytes."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [make(grams).tobytes() for grams in gram_sets(texts_of(batch), gram)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(found, pa.binary())], names=["id", "made"]
@@ -263,7 +263,7 @@ def bucket_counts(grams: np.ndarray) -> np.ndarray:
 
 def _kept(joined: DataFrame, similar: Callable[[np.ndarray, np.ndarray], bool], kind: type):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             good = [
                 similar(np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind))
                 for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
