@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.llm.common import table
 from gridloom.llm.exact_dedup import exact_groups
@@ -12,6 +13,7 @@ from gridloom.llm.jaccard_join import near_duplicates
 from gridloom.llm.language_id import identify
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.sharding import shard_documents
+from gridloom.llm.warc import archive_pages, read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return read_records(archive_pages(pages)).select(
+        F.col("id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -39,6 +53,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_warc": op4_warc,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_jaccard_join": op8_jaccard_join,
@@ -56,6 +71,18 @@ g AS (
          row_number() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST) AS place
   FROM n)
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM g
+""",
+    "op4_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+         min(page_id) OVER (PARTITION BY html) AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM g
 """,
     "op8_jaccard_join": r"""
 WITH RECURSIVE words AS (
