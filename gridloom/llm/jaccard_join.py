@@ -49,7 +49,7 @@ SHARED = 3
 #: Rounds in which every set outside a list's main component is compared with one set inside.
 ROUNDS = 1
 #: Entries of a list that a task puts in order together.
-TOGETHER = 20_000
+TOGETHER = 500
 #: Buckets of the counts that bound what two sets share.
 BUCKETS = 256
 #: A set of more than this many n-grams is never small, whatever the costs.

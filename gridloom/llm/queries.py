@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import table
+from gridloom.llm.decontamination import contaminated
 from gridloom.llm.exact_dedup import exact_groups
 from gridloom.llm.jaccard_join import near_duplicates
 from gridloom.llm.language_id import identify
@@ -51,6 +52,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_warc": op4_warc,
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op7_packing": op7_packing,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {
