@@ -3,10 +3,9 @@
 Terms are the words of the benchmark. One pass over the texts writes each as a row of term numbers;
 everything later reads that. Blocks of ``BLOCK`` words are weighted by TF-IDF over the whole corpus. A
 randomised SVD finds the latent space: each task adds up its share of A'(AX) for a random X drawn
-in the span of the items, Spark sums the shares by term, the driver orthonormalises a matrix of terms by
-ranks, and a second pass gives the small matrix whose eigenvectors are the singular directions. Every
-window of two blocks is compared with every item by cosine; a window that comes near an item is
-checked by the longest common subsequence of words, within a stretch not much longer than the
+in the span of the items, Spark sums the shares by term, and the driver takes the singular directions
+from that matrix of terms by ranks. Every window of two blocks is compared with every item by
+cosine. A window that comes near an item, and holds enough of its words in any order, is checked by the longest common subsequence of words, within a stretch not much longer than the
 item. If nearly all words are there it is a copy; if most are, the end of the item, where its answer
 stands, must be there too: then it is a paraphrase.
 
@@ -32,14 +31,17 @@ from gridloom.llm.common import cut_lineage, shuffle_partitions, sliced, utf8
 from gridloom.llm.words import NOT_IN_WORDS, word_arrays
 from gridloom.operators.lookup import lookup_join
 
-MOST_ITEMS = 20_000
+MOST_ITEMS = 2_000
 BLOCK = 24
-RANK = 128
-EXTRA = 16
+RANK = 96
+EXTRA = 8
 #: A term in more than this part of all blocks and of all items says nothing about an item.
-COMMON = 0.05
+COMMON = 0.02
 #: Cosine at which a window is a candidate.
-NEAR = 0.3
+NEAR = 0.45
+#: Part of an item's weights that the words of a window must hold, whatever their order.
+HELD = 0.35
+CACHED = 1000
 #: Parts of an item's words: a copy, and a paraphrase if the answer is there too.
 COPY = 0.8
 PARAPHRASE = 0.55
@@ -144,10 +146,10 @@ class Space:
         out = np.zeros((n, to.shape[1]), np.float32)
         if len(block):
             starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            step = 200_000
-            for at in range(0, len(starts), step // 4):
-                some = starts[at : at + step // 4]
-                end = starts[at + step // 4] if at + step // 4 < len(starts) else len(block)
+            # Parts that stay in the processor's cache.
+            for at in range(0, len(starts), CACHED):
+                some = starts[at : at + CACHED]
+                end = starts[at + CACHED] if at + CACHED < len(starts) else len(block)
                 rows = to[term[some[0] : end]] * weight[some[0] : end, None]
                 out[block[some]] = np.add.reduceat(rows, some - some[0], axis=0)
         return out
@@ -255,8 +257,10 @@ def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int)
     context = rows.sparkSession.sparkContext
     vectors = unit(space.item_vectors(benchmark.items))
     width = min(rank + EXTRA, max(1, len(benchmark.items)))
-    draw = np.random.default_rng(7).standard_normal((len(vectors), width)).astype(np.float32)
-    sketch = context.broadcast((space, vectors.T @ draw))
+    draw = np.random.default_rng(7).standard_normal((len(vectors), width))
+    start = np.linalg.qr(vectors.T @ draw)[0]
+    width = start.shape[1]
+    sketch = context.broadcast((space, start.astype(np.float32)))
 
     def blocks_of(batches: Iterator[pa.RecordBatch], space: Space):
         for batch in sliced(batches, 500):
@@ -271,38 +275,34 @@ def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int)
             z = space.project(block, term, weight, n, to)
             order = np.argsort(term, kind="stable")
             term, starts = np.unique(term[order], return_index=True)
-            for at in range(0, len(term), 2000):
-                some = starts[at : at + 2000]
-                end = starts[at + 2000] if at + 2000 < len(starts) else len(order)
+            for at in range(0, len(term), CACHED):
+                some = starts[at : at + CACHED]
+                end = starts[at + CACHED] if at + CACHED < len(starts) else len(order)
                 use = order[some[0] : end]
                 values = z[block[use]] * weight[use, None]
-                total[term[at : at + 2000]] += np.add.reduceat(values, some - some[0], axis=0)
+                total[term[at : at + CACHED]] += np.add.reduceat(values, some - some[0], axis=0)
         yield _shares(total)
 
     pulled = _summed(rows.mapInArrow(pull, "place int, row binary"), width)
     pulled = np.vstack([pulled, np.zeros((len(space.weights) - len(pulled), width))])
-    # Directions of items that no document comes near are kept as well.
-    found, _ = np.linalg.qr(pulled + 1e-3 * sketch.value[1])
-    basis = context.broadcast((space, found.astype(np.float32)))
-
-    def square(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, to = basis.value
-        total = np.zeros((to.shape[1], to.shape[1]), np.float32)
-        for block, term, weight, n in blocks_of(batches, space):
-            z = space.project(block, term, weight, n, to)
-            total += z.T @ z
-        yield _shares(total)
-
-    small = _summed(rows.mapInArrow(square, "place int, row binary"), width)
-    small = np.vstack([small, np.zeros((width - len(small), width))])
-    _, turned = np.linalg.eigh((small + small.T) / 2)
-    return (found @ turned[:, ::-1][:, :rank]).astype(np.float32)
+    # One pass is enough for a symmetric matrix: its singular vectors follow from what it makes of
+    # the sketch (Nystrom), a little of which keeps directions that no document has.
+    pulled += max(1e-3, 1e-6 * np.linalg.norm(pulled)) * start
+    inner = start.T @ pulled
+    half = np.linalg.cholesky((inner + inner.T) / 2)
+    left, _, _ = np.linalg.svd(np.linalg.solve(half, pulled.T).T, full_matrices=False)
+    return left[:, :rank].astype(np.float32)
 
 
 def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         benchmark, space = shared.value
-        targets = unit(space.item_vectors(benchmark.items) @ space.basis).T
+        vectors = space.item_vectors(benchmark.items)
+        targets = unit(vectors @ space.basis).T
+        # (item, term) in order, and the term's part of the item's weights.
+        worth = vectors / np.maximum(vectors.sum(1, keepdims=True), 1e-9)
+        own = np.flatnonzero(worth)
+        worth = worth.ravel()[own]
         for batch in sliced(batches, 500):
             terms, starts = _laid(batch, benchmark.kind)
             block, term, weight, first = space.triplets(terms, starts)
@@ -313,17 +313,28 @@ def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
             following[first[1:] - 1] = 0
             windows = unit(z + following)
             hits: dict[tuple[int, int], tuple[float, float, int]] = {}
+            begins = np.searchsorted(block, np.arange(int(first[-1]) + 1))
             for at in range(0, len(windows), 20_000):
                 where, which = np.nonzero(windows[at : at + 20_000] @ targets >= near)
                 where += at
                 docs = np.searchsorted(first, where, side="right") - 1
-                for w, d, i in zip(where.tolist(), docs.tolist(), which.tolist(), strict=True):
+                # The terms of a window's one or two blocks stand side by side.
+                low, high = begins[where], begins[np.minimum(where + 2, first[docs + 1])]
+                sizes = high - low
+                place = np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+                pairs = np.repeat(which, sizes) * len(space.weights) + term[place]
+                spot = np.minimum(np.searchsorted(own, pairs), len(own) - 1)
+                held = np.where(own[spot] == pairs, worth[spot], 0)
+                held = np.bincount(np.repeat(np.arange(len(where)), sizes), held, minlength=len(where))
+                likely = held >= HELD
+                found = (where[likely].tolist(), docs[likely].tolist(), which[likely].tolist())
+                for w, d, i in zip(*found, strict=True):
                     item = benchmark.items[i]
                     begin = starts[d] + (w - first[d]) * BLOCK
                     low = max(starts[d], begin - item.size)
-                    found = item.match(terms[low : min(starts[d + 1], begin + 2 * BLOCK + item.size)])
-                    if found[0] > hits.get((d, i), (0.0,))[0]:
-                        hits[d, i] = (found[0], found[1], int(low - starts[d]) + found[2])
+                    best = item.match(terms[low : min(starts[d + 1], begin + 2 * BLOCK + item.size)])
+                    if best[0] > hits.get((d, i), (0.0,))[0]:
+                        hits[d, i] = (best[0], best[1], int(low - starts[d]) + best[2])
             kept = [
                 (d, benchmark.items[i].key, part, end, at)
                 for (d, i), (part, end, at) in hits.items()
