@@ -371,13 +371,13 @@ def contaminated(
     """One row per document and item in it: id, item_id, matched and answer (parts of the item's
     words and of its end), word (place in the text) and kind (copy or paraphrase)."""
     spark = df.sparkSession
-    named = benchmark.select(F.col(f"`{item_col}`").cast("long"), F.col(f"`{item_text_col}`"))
+    named = benchmark.select(F.col(f"`{item_col}`").cast("long"), F.lower(f"`{item_text_col}`"))
     items = named.limit(MOST_ITEMS + 1).collect()
     if len(items) > MOST_ITEMS:
         raise ValueError(f"more than {MOST_ITEMS} benchmark items")
     known = Benchmark([tuple(r) for r in items])
     shared = spark.sparkContext.broadcast(known)
-    docs = df.select(F.col(f"`{id_col}`").alias("id"), utf8(F.col(f"`{text_col}`")).alias("data"))
+    docs = df.select(F.col(f"`{id_col}`").alias("id"), utf8(F.lower(f"`{text_col}`")).alias("data"))
     out = f"`{id_col}` {docs.schema['id'].dataType.simpleString()}, item_id long, matched double"
     out += ", answer double, word long, kind string"
     if not known.items:

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import table
+from gridloom.llm.common import scratch_path, table
 from gridloom.llm.decontamination import contaminated
 from gridloom.llm.exact_dedup import exact_groups
 from gridloom.llm.jaccard_join import near_duplicates
 from gridloom.llm.language_id import identify
+from gridloom.llm.line_dedup import dedup_lines
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.sharding import shard_documents
+from gridloom.llm.token_counts import DELETE, INSERT, REVISE, TokenLedger
 from gridloom.llm.warc import archive_pages, read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +25,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
@@ -35,6 +42,22 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; then toxic ones go, and those of low quality come in trimmed, twice."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), "source", "lang", "text"
+    )
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
+    change = F.when(F.col("toxic") == 1, DELETE).when(F.col("quality") == 0, REVISE)
+    marked = labels.select("id", change.alias("change")).where("change IS NOT NULL")
+    later = docs.withColumn("text", F.regexp_replace("text", "\\s+$", "")).join(marked, "id")
+    ledger = TokenLedger(spark, scratch_path(spark, "token-ledger"))
+    ledger.apply("load", docs.withColumn("change", F.lit(INSERT)))
+    for _ in range(2):
+        ledger.apply("clean", later)
+    return ledger.totals()
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -58,7 +81,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_warc": op4_warc,
+    "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_jaccard_join": op8_jaccard_join,
