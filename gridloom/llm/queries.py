@@ -12,6 +12,7 @@ from gridloom.llm.decontamination import contaminated
 from gridloom.llm.exact_dedup import exact_groups
 from gridloom.llm.jaccard_join import near_duplicates
 from gridloom.llm.language_id import identify
+from gridloom.llm.licenses import scan_licenses
 from gridloom.llm.line_dedup import dedup_lines
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.sharding import shard_documents
@@ -25,6 +26,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
@@ -81,6 +86,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_line_dedup": op3_line_dedup,
     "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
