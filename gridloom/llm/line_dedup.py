@@ -136,13 +136,17 @@ def dedup_lines(
     """The rows of ``df`` with the copied lines taken out of the text, and how many (last column,
     ``removed_lines``)."""
     lines = cut_lineage(lines_of(df, id_col, text_col, words), "lines")
-    gone = copied_lines(lines).groupBy(*_DOC).agg(F.collect_set("line").alias("gone"))
-    gone = cut_lineage(gone, "gone").toDF("__id", "__h", "__gone")
+    numbers = F.array_join(F.sort_array(F.collect_set("line")).cast("array<string>"), ",")
+    gone = copied_lines(lines).groupBy(*_DOC).agg(
+        F.concat(F.lit(","), numbers, F.lit(",")).alias("__gone"), F.count_distinct("line").alias("__n")
+    )
+    gone = cut_lineage(gone, "gone").withColumnsRenamed({"id": "__id", "h": "__h"})
     text = F.col(f"`{text_col}`")
-    same = (F.col(f"`{id_col}`") == F.col("__id")) & (F.xxhash64(text) == F.col("__h"))
-    joined = df.join(gone, same, "left")
-    kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("__gone", i))
+    keyed = df.withColumns({"__id": F.col(f"`{id_col}`"), "__h": F.xxhash64(text)})
+    # Short rows for the documents with copies only; the texts stay where they are while these fit.
+    joined = lookup_join(keyed, gone, ["__id", "__h"], ["__id"])
+    taken = lambda i: F.contains("__gone", F.concat(F.lit(","), i.cast("string"), F.lit(",")))
+    kept = F.filter(F.split(text, "\n"), lambda x, i: ~taken(i))
     cleaned = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
     others = [cleaned.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
-    removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone"))
-    return joined.select(*others, removed.cast("long").alias("removed_lines"))
+    return joined.select(*others, F.coalesce("__n", F.lit(0)).cast("long").alias("removed_lines"))
