@@ -14,6 +14,8 @@ from gridloom.session import cut_lineage, scratch_path
 __all__ = [
     "WordCache",
     "cut_lineage",
+    "kept",
+    "nothing_kept",
     "numbered_in_order",
     "scratch_path",
     "shuffle_partitions",
@@ -81,6 +83,22 @@ class WordCache(dict):
         return made
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable[[], object]):
+    """What ``make`` returned for the key, kept by a worker until it is asked for another one."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def nothing_kept() -> None:
+    kept(None, lambda: None)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that what a task makes of one stays small."""
     for batch in batches:

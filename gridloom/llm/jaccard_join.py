@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gridloom.llm.common import cut_lineage, sliced, utf8
+from gridloom.llm.common import cut_lineage, nothing_kept, sliced, utf8
 from gridloom.llm.components import components
 from gridloom.llm.words import mixed, word_arrays
 from gridloom.operators.lookup import lookup_join
@@ -88,6 +88,7 @@ def gram_sets(texts: Iterable[bytes], gram: int = GRAM) -> Iterator[np.ndarray]:
 
 
 def texts_of(batch: pa.RecordBatch) -> Iterator[bytes]:
+    nothing_kept()
     return (data.as_py() for data in batch.column("data"))
 
 

@@ -16,9 +16,9 @@ named columns are read, and text alone decides about a prediction.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import cut_lineage, utf8
-from gridloom.llm.words import mixed, stretches
+from gridloom.llm.common import cut_lineage, kept, sliced, utf8
+from gridloom.llm.words import NOT_LETTERS, STRETCH, hashed_words, mixed, stretches
 
 #: Characters of an n-gram.
 ORDER = 4
@@ -46,7 +46,7 @@ _START, _END = "\x02", "\x03"
 
 
 def letter_words(chunk: bytes) -> list[str]:
-    """Runs of letters, in small ones."""
+    """Runs of letters; the text is in small ones."""
     return _LETTERS.findall(chunk.decode("utf-8", "replace").lower())
 
 
@@ -200,81 +200,98 @@ class Models:
 
     def words_bits(self, words: list[str]) -> np.ndarray:
         """Bits of each word by language, and its number of characters with the end, last."""
-        rows = []
-        for word in words:
-            padded = _START * (self.order - 1) + word + _END
-            points = list(map(ord, padded))
-            rows += [points[i : i + self.order] for i in range(len(word) + 1)]
+        start = _START * (self.order - 1)
+        laid = "".join([f"{start}{w}{_END}" for w in words])
+        points = np.frombuffer(laid.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         lengths = np.array([len(w) + 1 for w in words])
-        bits = -self.logs_of(np.array(rows, dtype=np.uint64))
         ends = np.cumsum(lengths) - lengths
-        return np.column_stack([np.add.reduceat(bits, ends, axis=0), lengths])
+        begins = np.cumsum(lengths + self.order - 1) - (lengths + self.order - 1)
+        places = np.repeat(begins - ends, lengths) + np.arange(lengths.sum())
+        windows = np.lib.stride_tricks.sliding_window_view(points, self.order)[places]
+        return np.column_stack([np.add.reduceat(-self.logs_of(windows), ends, axis=0), lengths])
 
 
 class Scorer:
     """Bits of texts, from the bits of their words; distinct words are scored once."""
 
-    def __init__(self, models: Models, most: int = 600_000):
+    def __init__(self, models: Models, most: int = 1_000_000):
         self.models, self.most = models, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.table = np.zeros((1024, len(self.models.languages) + 1))
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        if len(self.place) + len(chunks) > self.most and self.place:
-            self.clear()
-        words = [letter_words(c) for c in chunks]
-        flat = [w for ws in words for w in ws]
-        bits = self.models.words_bits(flat) if flat else None
-        while len(self.place) + len(chunks) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        at = 0
-        for chunk, own in zip(chunks, words, strict=True):
-            row = len(self.place)
-            self.place[chunk] = row
-            self.table[row] = bits[at : at + len(own)].sum(0) if own else 0
-            at += len(own)
-
-    def bits(self, data: bytes) -> np.ndarray:
-        """Bits by language and the number of characters, of the whole text."""
-        total = np.zeros(len(self.models.languages) + 1)
-        for part in stretches(data):
-            chunks = part.split()
-            if not chunks:
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.table = np.zeros((0, len(self.models.languages) + 1), np.float32)
+
+    def _rows(self, data: bytes, hashes: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Bits and characters of each of the words."""
+        fresh, at = np.unique(hashes[~np.isin(hashes, self.known)], return_index=True)
+        if len(fresh):
+            if len(self.known) + len(fresh) > self.most and len(self.known):
+                self._clear()
+                return self._rows(data, hashes, first, end)
+            at = np.flatnonzero(~np.isin(hashes, self.known))[at]
+            words = [letter_words(data[a:e]) for a, e in zip(first[at].tolist(), end[at].tolist(), strict=True)]
+            sizes = np.array([len(w) for w in words])
+            made = np.zeros((len(fresh), self.table.shape[1]))
+            if sizes.any():
+                bits = self.models.words_bits([w for ws in words for w in ws])
+                some = np.flatnonzero(sizes)
+                made[some] = np.add.reduceat(bits, (np.cumsum(sizes) - sizes)[some], axis=0)
+            known = np.concatenate([self.known, fresh])
+            order = np.argsort(known)
+            self.known = known[order]
+            self.table = np.concatenate([self.table, made.astype(np.float32)])[order]
+        return self.table[np.searchsorted(self.known, hashes)]
+
+    def texts_bits(self, texts: list[bytes]) -> np.ndarray:
+        """Bits by language and the number of characters, of each whole text."""
+        total = np.zeros((len(texts), self.table.shape[1]))
+        held: list[int] = []
+
+        def add(numbers: list[int], data: bytes, starts: list[int]) -> None:
+            hashes, first, end = hashed_words(data, NOT_LETTERS)
+            if len(hashes):
+                rows = self._rows(data, hashes, first, end).astype(np.float64)
+                text = np.searchsorted(starts, first, side="right") - 1
+                begin = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+                sums = np.add.reduceat(rows, begin, axis=0)
+                total[np.array(numbers)[text[begin]]] += sums
+
+        def together() -> None:
+            if held:
+                own = [texts[i] for i in held]
+                starts = np.cumsum([0] + [len(t) + 1 for t in own])[:-1]
+                add(held, b"\n".join(own), starts)
+                held.clear()
+
+        size = 0
+        for i, text in enumerate(texts):
+            if len(text) > STRETCH:
+                for part in stretches(text):
+                    add([i], part, [0])
                 continue
-            known = self.place.keys()
-            fresh = list({c for c in chunks if c not in known})
-            if fresh:
-                before = len(self.place)
-                self._learn(fresh)
-                if len(self.place) < before + len(fresh):
-                    self._learn(list(set(chunks) - self.place.keys()))
-            rows = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-            total += self.table[rows].sum(0)
+            if size + len(text) > STRETCH:
+                together()
+                size = 0
+            held.append(i)
+            size += len(text) + 1
+        together()
         return total
 
 
-@lru_cache(maxsize=1)
-def _scorer(shared) -> Scorer:
-    return Scorer(shared.value)
-
-
 def text_bits(rows: DataFrame, models: Models, carry: list[str]) -> DataFrame:
     """``carry``, and bits (by language) and chars of each text."""
-    shared = rows.sparkSession.sparkContext.broadcast(models)
+    shared, stamp = rows.sparkSession.sparkContext.broadcast(models), uuid.uuid4().hex
     fields = [rows.schema[c] for c in carry]
     schema = T.StructType(
         [*fields, T.StructField("bits", T.ArrayType(T.DoubleType())), T.StructField("chars", T.DoubleType())]
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
-        for batch in batches:
-            found = np.array([scorer.bits(data.as_py()) for data in batch.column("data")])
-            size = len(scorer.models.languages)
-            found = found.reshape(batch.num_rows, size + 1)
+        scorer = kept(("bits", stamp), lambda: Scorer(shared.value))
+        for batch in sliced(batches):
+            found = scorer.texts_bits(batch.column("data").to_pylist())
+            size = found.shape[1] - 1
             offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * np.int32(size)
             bits = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[:, :-1].ravel()))
             yield pa.RecordBatch.from_arrays(
@@ -309,7 +326,7 @@ def identify(
     """One row per row of ``df``: id, held_out, lang_pred, score, accepted, bits_per_char."""
     docs = df.select(
         F.col(f"`{id_col}`").alias("id"),
-        utf8(F.col(f"`{text_col}`")).alias("data"),
+        utf8(F.lower(f"`{text_col}`")).alias("data"),
         F.col(f"`{lang_col}`").alias("lang"),
         is_held_out(F.col(f"`{id_col}`")).alias("held_out"),
     )

@@ -18,13 +18,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import WordCache, cut_lineage, numbered_in_order, utf8
+from gridloom.llm.common import WordCache, cut_lineage, kept, numbered_in_order, sliced, utf8
 from gridloom.llm.packing_plan import packing_plan
 from gridloom.llm.words import stretches
 
@@ -38,9 +37,8 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@lru_cache(maxsize=1)
 def id_words(tokenizer_file: str) -> WordCache:
-    """Ids of a word, as little-endian 32-bit numbers; kept by the worker from task to task.
+    """Ids of a word, as little-endian 32-bit numbers.
 
     The tokenizer ignores case and never joins a letter with punctuation, so a word in capitals or
     with a comma is looked up by its parts. Words that may hold a special token are left whole.
@@ -88,8 +86,9 @@ def token_pieces(
     id_type = rows.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = id_words(tokenizer_file)
-        for batch in batches:
+        # From task to task the worker keeps what it has tokenised.
+        ids = kept(("ids", tokenizer_file), lambda: id_words(tokenizer_file))
+        for batch in sliced(batches):
             index, piece, start, length, crc = [], [], [], [], []
             for i, data in enumerate(batch.column("data")):
                 at = 0

@@ -19,7 +19,9 @@ _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _BASE = 0x9E3779B97F4A7C15
 _ODD = np.uint64(_BASE)
 BLANK = bytes([9, 10, 11, 12, 13, 32])
-#: All but ASCII letters and digits and the bytes of other characters.
+#: All but ASCII letters and the bytes of other characters.
+NOT_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
+#: The same, but digits are in words.
 NOT_IN_WORDS = bytes(b for b in range(128) if not chr(b).isalnum())
 
 
@@ -55,8 +57,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def hashed_words(data: bytes, between: bytes = BLANK) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of each word, in order."""
+def hashed_words(data: bytes, between: bytes = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of each word, in order."""
     values = _values(between)[np.frombuffer(data, np.uint8)]
     inside = np.zeros(len(values) + 2, dtype=bool)
     np.not_equal(values, 0, out=inside[1:-1])
@@ -65,7 +67,7 @@ def hashed_words(data: bytes, between: bytes = BLANK) -> tuple[np.ndarray, np.nd
     up, down = _powers(1 << max(19, (len(values) + 1).bit_length()))
     total = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * up[: len(values)], out=total[1:])
-    return mixed((total[end] - total[first]) * down[first]), first
+    return mixed((total[end] - total[first]) * down[first]), first, end
 
 
 def word_arrays(texts: Iterable[bytes], between: bytes = BLANK) -> Iterator[np.ndarray]:
@@ -75,7 +77,7 @@ def word_arrays(texts: Iterable[bytes], between: bytes = BLANK) -> Iterator[np.n
 
     def together() -> Iterator[np.ndarray]:
         if held:
-            words, first = hashed_words(b"\n".join(held), between)
+            words, first, _ = hashed_words(b"\n".join(held), between)
             starts = np.cumsum([0] + [len(t) + 1 for t in held])
             at = np.searchsorted(first, starts)
             for i in range(len(held)):
