@@ -348,7 +348,7 @@ def identify(
     # array_position finds the first of the languages, which are in order of their names.
     best = F.array_position("bits", F.array_min("bits"))
     scored = scored.withColumn("best", best.cast("int")).withColumn(
-        "per_char", F.array_min("bits") / F.col("chars")
+        "per_char", F.try_divide(F.array_min("bits"), F.col("chars"))
     )
     # Bits per character spread the less the longer a text is: as a + b / chars, by language.
     known = scored.where("trains AND chars > 0")
@@ -360,7 +360,7 @@ def identify(
     centre = F.element_at(F.array(*[F.lit(usual.get(i + 1, 0.0)) for i in range(len(languages))]), F.col("best"))
     off = F.col("per_char") - centre
     spread = known.agg(F.avg(off * off * F.col("chars"))).first()[0]
-    deviation = F.sqrt(F.lit(max(spread or 1.0, 1e-6)) / F.col("chars") + F.lit(0.0025))
+    deviation = F.sqrt(F.try_divide(F.lit(max(spread or 1.0, 1e-6)), F.col("chars")) + F.lit(0.0025))
     far = off / deviation
     limit = known.agg(F.percentile_approx(far, 1 - unusual, 100_000)).first()[0]
     limit = (limit or 0.0) + margin
@@ -375,6 +375,6 @@ def identify(
         "held_out",
         F.when(has_letters, F.element_at(names, F.col("best"))).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(has_letters, posterior * usualness).otherwise(0.0).alias("score"),
-        (has_letters & (far < limit)).alias("accepted"),
+        F.coalesce(has_letters & (far < limit), F.lit(False)).alias("accepted"),
         F.when(has_letters, F.col("per_char")).alias("bits_per_char"),
     )
