@@ -26,7 +26,7 @@ def within_budget(df: DataFrame, sheets: DataFrame, max_files: int | None) -> Da
         return df
     names = sheets.select(F.col("file_id").alias("path")).distinct()
     # Bounded by the budget itself.
-    chosen = F.broadcast(growth.file_budget(names, max_files))
+    chosen = growth.file_budget(names, max_files)
     return df.join(chosen.withColumnRenamed("path", "file_id"), "file_id", "left_semi")
 
 
@@ -36,7 +36,7 @@ def _fullest(cells: DataFrame, sheets: DataFrame, na_tokens: list[str] | None =
 
 
 def header_growth(
-    cells: DataFrame, sheets: DataFrame, dictionary: DataFrame, max_files: int | None = 3
+    cells: DataFrame, sheets: DataFrame, dictionary: DataFrame, max_files: int | None = None
 ) -> HeaderGrowth:
     """Headers of each file's fullest sheet that the dictionary does not hold, and the counts."""
     cells, sheets = within_budget(cells, sheets, max_files), within_budget(sheets, sheets, max_files)
@@ -52,7 +52,7 @@ def value_growth(
     sheets: DataFrame,
     header_dictionary: DataFrame,
     value_dictionary: DataFrame,
-    max_files: int | None = 3,
+    max_files: int | None = None,
     keywords: list[str] | None = None,
     na_tokens: list[str] | None = None,
 ) -> DataFrame:
