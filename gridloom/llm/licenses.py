@@ -16,6 +16,7 @@ columns are read.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
@@ -107,15 +108,26 @@ def words_of(sentence: Column) -> Column:
     return F.filter(bare, lambda w: w != "")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``; an expression that lambdas mention is worked out once a row, not per element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def grams_of(words: Column) -> Column:
     """N-grams of one to three words that hold a cue."""
-    size = F.size(words)
 
-    def of(n: int) -> Column:
-        places = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array())
-        return F.transform(places.cast("array<int>"), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+    def found(words: Column) -> Column:
+        size = F.size(words)
+
+        def of(n: int) -> Column:
+            places = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array())
+            return F.transform(
+                places.cast("array<int>"), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " ")
+            )
 
-    return F.filter(F.concat(of(1), of(2), of(3)), has_cue)
+        return F.filter(F.concat(of(1), of(2), of(3)), has_cue)
+
+    return _once(words, found)
 
 
 def sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -166,19 +178,27 @@ class LicenseModel:
     def _features(self, rows: DataFrame) -> DataFrame:
         return self.tf.transform(rows.withColumn("grams", grams_of(words_of(F.col("text")))))
 
-    def _scored(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with number and probability of the most likely family that is a licence."""
+    def _scored(self, rows: DataFrame, least: float = 0.0) -> DataFrame:
+        """``rows`` with number and probability of the most likely family that is a licence, where that is
+        ``least`` or more."""
         kept = rows.columns
         model = self.model.setProbabilityCol("all").setPredictionCol("top").setRawPredictionCol("raw")
-        scored = model.transform(self._features(rows)).withColumn("all", vector_to_array("all"))
-        families = F.slice("all", 2, len(self.families) - 1)
-        best = F.array_position(families, F.array_max(families)).cast("int")
-        return scored.select(*kept, best.alias("best"), F.array_max(families).alias("probability"))
+        scored = model.transform(self._features(rows))
+
+        def top(families: Column) -> Column:
+            most = F.array_max(families)
+            best = F.array_position(families, most).cast("int").alias("best")
+            return F.struct(best, most.alias("probability"))
+
+        families = F.slice(vector_to_array("all"), 2, len(self.families) - 1)
+        # A generator, below which no filter is pushed: each sentence is scored once.
+        likely = F.filter(F.transform(F.array(families), top), lambda s: s["probability"] >= least)
+        return scored.select(*kept, F.inline(likely))
 
     def classify(self, rows: DataFrame) -> DataFrame:
         """``rows`` that look like a notice, with family, probability and agreement."""
         spark = rows.sparkSession
-        likely = self._scored(rows).where(F.col("probability") >= self.believed / 2)
+        likely = self._scored(rows, self.believed / 2)
         templates = [
             (n, _plain(t)) for n, f in enumerate(NOTICES, 1) for t in NOTICES[f]
         ]
@@ -189,9 +209,12 @@ class LicenseModel:
         # A fixed, short list.
         every = templates.groupBy("best").agg(F.collect_list("template").alias("templates"))
         joined = likely.join(F.broadcast(every), "best")
-        agreement = F.array_max(
-            F.transform("templates", lambda t: F.size(F.array_intersect(words, t)) / F.size(t))
-        )
+
+        def closest(words: Column) -> Column:
+            shares = F.transform("templates", lambda t: F.size(F.array_intersect(words, t)) / F.size(t))
+            return F.array_max(shares)
+
+        agreement = _once(words, closest)
         joined = joined.withColumn("agreement", agreement)
         sure = (F.col("probability") >= self.believed) & (F.col("agreement") >= AGREES)
         family = F.when(sure, F.element_at(names, F.col("best"))).otherwise(UNKNOWN)
