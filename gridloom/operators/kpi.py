@@ -25,6 +25,7 @@ REPORT_HEAD = [
 class Thresholds:
     """Levels that must be passed, not reached."""
 
+    # The default levels.
     red_resolver: float = 0.6
     red_unresolved: float = 0.2
     red_completeness: float = 0.7
@@ -54,6 +55,15 @@ def run_ids(records: DataFrame) -> DataFrame:
     )
 
 
+def stored_ids(records: DataFrame) -> DataFrame:
+    """The ids that a batch stored, one ``STORED`` record each."""
+    steps = records.where(F.col("event") == "STORED").select("log_name", F.inline("steps"))
+    ids = steps.where(F.col("name") == "INSERT_METADATA").select(
+        "log_name", F.col("chrono_id").try_cast("long").alias("chrono_id")
+    )
+    return ids.where(F.col("chrono_id").isNotNull()).distinct()
+
+
 def method_rates(log: DataFrame) -> DataFrame:
     """Shares of the methods and of unresolved entries per chronogram."""
     method = F.col("methode")
@@ -158,3 +168,17 @@ def batch_outcome(files: DataFrame, dimension: DataFrame) -> DataFrame:
         .join(loaded, "file_name", "left")
         .select("file_name", "chrono_id", status.alias("status"))
     )
+
+
+def file_outcome(files: DataFrame, passed: DataFrame, refused: DataFrame) -> DataFrame:
+    """Per ``files(file_id, file_name)`` its id and ``OK``, or ``ERROR`` with the reasons.
+
+    A file is told by its id, whatever its name looks like once stored. A file has few reasons.
+    """
+    reasons = refused.groupBy("file_id").agg(
+        F.array_join(F.array_sort(F.collect_set("reason")), "; ").alias("reason")
+    )
+    ids = passed.select("file_id", F.col("id_chronogramme").alias("chrono_id"))
+    status = F.when(F.col("chrono_id").isNotNull(), "OK").otherwise("ERROR")
+    joined = files.join(ids, "file_id", "left").join(reasons, "file_id", "left")
+    return joined.select("file_id", "file_name", "chrono_id", status.alias("status"), "reason")

@@ -29,6 +29,7 @@ DEFAULTS = {
     "etablissement_type": "N/A",
     "submitter": "pipeline",
 }
+# Fields whose text is cleaned.
 TEXT_FIELDS = ["nom_chronogramme", "lieu_exercice", "etablissement_nom", "etablissement_type", "submitter"]
 
 

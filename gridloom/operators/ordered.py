@@ -4,12 +4,14 @@ A window over a whole key runs in one task. Here the order is cut into buckets o
 consecutive ordinals: a window works inside (key, bucket), one summary row per bucket is carried
 over the buckets of the key, and the carry is joined back on (key, bucket); every bucket has its
 summary row, so the join is an inner one and both sides of it keep equal plans. No task sees more than
-one bucket of rows or one key's bucket summaries. Keys and ordinals must not be null, and ordinals
-must be unique within a key.
+one bucket of rows or one key's bucket summaries. A null key or ordinal is an error, and ordinals must
+be unique within a key.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -19,7 +21,9 @@ _BUCKET = "__bucket"
 
 
 def _bucketed(df: DataFrame, keys: list[str], ordinal: str, width: int) -> DataFrame:
-    bucket = F.floor(F.col(ordinal) / F.lit(float(width)))
+    absent = reduce(Column.__or__, [F.col(c).isNull() for c in (*keys, ordinal)])
+    error = F.raise_error(F.lit(f"null in {', '.join((*keys, ordinal))}")).cast("long")
+    bucket = F.when(absent, error).otherwise(F.floor(F.col(ordinal) / F.lit(float(width))))
     # Said here, the null test is part of both uses; inferred from the join, of one only.
     return df.withColumn(_BUCKET, bucket).where(F.col(_BUCKET).isNotNull())
 

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from gridloom.model import TargetSchema
 from gridloom.operators import clean, enrich, growth, headers, integrity, metadata, structure, values
-from gridloom.operators.kpi import batch_outcome
+from gridloom.operators.kpi import file_outcome
 from gridloom.operators.lookup import lookup_join
 from gridloom.operators.ordered import WIDTH
 from gridloom.operators.resolvers import Resolver
 from gridloom.session import cut_lineage
 from gridloom.sinks.dictionaries import DictionaryStore
 from gridloom.sinks.report import RunRecorder
-from gridloom.sinks.store import Store
+from gridloom.sinks.store import IDS_PER_BUCKET, Store
 
 SHEET, ROW, COLUMN = structure.SHEET, clean.ROW, clean.COLUMN
 _HAS = "__has_"
@@ -45,6 +45,7 @@ class Options:
 class Intake(NamedTuple):
     rows: DataFrame  # enriched rows, one column per field
     rejected_rows: DataFrame
+    files: DataFrame  # file_id of the files with a main sheet
     rejected_files: DataFrame
     dropped_columns: DataFrame
     log: DataFrame
@@ -140,6 +141,7 @@ def plan_intake(
             kept_rows.drop(*flags), submissions, options.id_col, width=options.width
         ),
         rejected_rows=rejected_rows.drop(*flags),
+        files=main.select("file_id").distinct(),
         rejected_files=structure.without_header(main, ranges),
         dropped_columns=headers.dropped_columns(named.headers, schema.fields),
         log=lookup_join(
@@ -158,6 +160,20 @@ def register(submissions: DataFrame, start: int) -> metadata.Checked:
     )
 
 
+def complete(
+    submissions: DataFrame, sheets: DataFrame, unreadable: DataFrame | None = None
+) -> DataFrame:
+    """The submissions, and one without any field for each file that was read, or could not be, and has
+    none. Its id is taken for its path, which is what the reader gives."""
+    seen = sheets.select("file_id")
+    if unreadable is not None:
+        seen = seen.unionByName(unreadable.select("file_id"))
+    new = seen.distinct().join(submissions.select("file_id"), "file_id", "left_anti")
+    return submissions.unionByName(
+        new.withColumn("file_path", F.col("file_id")), allowMissingColumns=True
+    )
+
+
 def run_intake(
     spark: SparkSession,
     store: Store,
@@ -168,41 +184,74 @@ def run_intake(
     submissions: DataFrame,
     batch_id: str,
     options: Options = Options(),
+    unreadable: DataFrame | None = None,
 ) -> Result:
     """Plan, check and append one batch of files.
 
+    ``unreadable(file_id, reason)`` lists the files that the reader refused; files without a submission
+    get the defaults of one. Every file is in ``outcome``, and each that is not stored in ``rejected``
+    with its reasons.
+
     Rows and ids are written out once before the checks, so the checks and the appends see the same
-    rows. Dimension and facts are written together, and only for files that pass.
+    rows. The batch shows once facts, log and dimension are all written; run again it replaces itself.
+    A run that fails leaves its log as well.
     """
     recorder = RunRecorder(batch_id)
-    with recorder.step("INSERT_METADATA"):
-        registered = register(submissions, store.max_id())
-        known = cut_lineage(registered.valid)
-    with recorder.step("STANDARDIZE") as metrics:
-        intake = plan_intake(
-            cells, sheets, known, header_store.read(), value_store.read(), options
-        )
-        rows = cut_lineage(recorder.observe(intake.rows, "rows"))
-        metrics["rows"] = recorder.rows("rows")
-    with recorder.step("INSERT_INJECTS"):
-        stored = store.facts().where(F.col("batch_id") != batch_id)
-        gate = integrity.atomic_gate(rows, known, stored, unit="file_id")
-        refused = (
-            gate.rejected.select("file_id", "reason")
-            .unionByName(intake.rejected_files.select("file_id", "reason"))
-            .unionByName(registered.rejected.select("file_id", "reason"))
-        )
-        refused = cut_lineage(refused)
-        counts = rows.groupBy("id_chronogramme").agg(F.count("*").alias("nb_new"))
-        passed = known.join(refused.select("file_id"), "file_id", "left_anti").drop("nb_injects")
-        dimension = passed.join(counts, "id_chronogramme", "left").withColumn(
-            "nb_injects", F.coalesce("nb_new", F.lit(0))
-        )
-        store.append_facts(gate.accepted, batch_id)
-        store.append_log(intake.log, batch_id)
-        store.append_dimension(dimension)
-        header_store.add(intake.learned_headers)
-        value_store.add(intake.learned_values)
-    recorder.write(spark, f"{store.base}/run_logs")
-    files = submissions.select(metadata.file_name(F.col("file_path")).alias("file_name"))
-    return Result(gate.accepted, batch_outcome(files, store.dimension()), refused)
+    stored = None
+    try:
+        with recorder.step("INSERT_METADATA"):
+            files = cut_lineage(complete(submissions, sheets, unreadable), "submissions")
+            start = store.max_id(but=batch_id)
+            registered = register(files, start)
+            known = cut_lineage(registered.valid)
+        with recorder.step("STANDARDIZE") as metrics:
+            intake = plan_intake(
+                cells, sheets, known, header_store.read(), value_store.read(), options
+            )
+            rows = cut_lineage(recorder.observe(intake.rows, "rows"))
+            metrics["rows"] = recorder.rows("rows")
+        with recorder.step("INSERT_INJECTS"):
+            # Ids go on after ``start``: facts in folders before it cannot clash.
+            earlier = store.facts().where(
+                (F.col("batch_id") != batch_id) & (F.col("id_bucket") >= start // IDS_PER_BUCKET)
+            )
+            gate = integrity.atomic_gate(rows, known, earlier, unit="file_id")
+            refused = cut_lineage(_refused(gate, intake, registered, known, unreadable))
+            counts = rows.groupBy("id_chronogramme").agg(F.count("*").alias("nb_new"))
+            passed = known.join(refused.select("file_id"), "file_id", "left_anti")
+            passed = cut_lineage(passed.drop("nb_injects"), "passed")
+            dimension = passed.join(counts, "id_chronogramme", "left").withColumn(
+                "nb_injects", F.coalesce("nb_new", F.lit(0))
+            )
+            store.begin(batch_id)
+            store.append_facts(gate.accepted, batch_id)
+            store.append_log(intake.log, batch_id)
+            header_store.add(intake.learned_headers)
+            value_store.add(intake.learned_values)
+            store.append_dimension(dimension, batch_id)
+            store.finish(batch_id)
+            stored = passed
+    finally:
+        recorder.write(spark, f"{store.base}/run_logs", stored)
+    named = files.select("file_id", metadata.file_name(F.col("file_path")).alias("file_name"))
+    return Result(gate.accepted, file_outcome(named, passed, refused), refused)
+
+
+def _refused(
+    gate: integrity.Gate,
+    intake: Intake,
+    registered: metadata.Checked,
+    known: DataFrame,
+    unreadable: DataFrame | None,
+) -> DataFrame:
+    """``(file_id, reason)`` of all files that are not stored."""
+    refused = (
+        gate.rejected.select("file_id", "reason")
+        .unionByName(intake.rejected_files.select("file_id", "reason"))
+        .unionByName(registered.rejected.select("file_id", "reason"))
+    )
+    empty = known.select("file_id").join(intake.files, "file_id", "left_anti")
+    if unreadable is not None:
+        refused = refused.unionByName(unreadable.select("file_id", "reason"))
+        empty = empty.join(unreadable.select("file_id"), "file_id", "left_anti")
+    return refused.unionByName(empty.withColumn("reason", F.lit("no sheet")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.operators.kpi import Thresholds, kpi, run_ids
+from gridloom.operators.kpi import Thresholds, kpi, run_ids, stored_ids
 from gridloom.sinks.report import write_report
 from gridloom.sinks.store import Store
 from gridloom.sources.records import run_records
@@ -17,8 +17,10 @@ def monitor(
     report_path: str | None = None,
     limits: Thresholds = Thresholds(),
 ) -> DataFrame:
-    """One record per run log in name order; written as a report if a path is given."""
-    table = kpi(run_ids(run_records(spark, log_folder)), store.mapping_log(), store.facts(), limits)
+    """One record per run log and id in name order; written as a report if a path is given."""
+    records = run_records(spark, log_folder)
+    runs = run_ids(records).unionByName(stored_ids(records))
+    table = kpi(runs, store.mapping_log(), store.facts(), limits)
     if report_path:
         write_report(table, report_path)
-    return table.orderBy("log_name")
+    return table.orderBy("log_name", "chrono_id")

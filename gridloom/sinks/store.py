@@ -1,7 +1,8 @@
 """The dimension, the facts and the mapping log as parquet tables.
 
-Facts lie under ``facts/batch_id=<b>/id_bucket=<k>``. A batch overwrites only its own folder, so a
-repeated batch replaces itself, and readers see a folder's files once Spark has committed them.
+Facts lie under ``facts/batch_id=<b>/id_bucket=<k>``. A batch overwrites only its own folder, and its
+rows of the dimension, so a repeated batch replaces itself. Between ``begin`` and ``finish`` a batch is
+hidden from readers in all three tables; one that broke off stays hidden until it is run again.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from gridloom.sinks.snapshots import SnapshotTable
 from gridloom.sources.paths import make_dir
 
 IDS_PER_BUCKET = 1000
+_BATCH = T.StructField("batch_id", T.StringType())
 
 
 def with_schema(df: DataFrame, names: list[str]) -> DataFrame:
@@ -39,20 +41,43 @@ def id_bucket(chrono_id: Column) -> Column:
 class Store:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
-        self.dimension_table = SnapshotTable(spark, f"{self.base}/dimension", DIMENSION)
+        rows = T.StructType([*DIMENSION.fields, _BATCH])
+        self.dimension_table = SnapshotTable(spark, f"{self.base}/dimension", rows)
+        self.open_table = SnapshotTable(spark, f"{self.base}/open_batches", T.StructType([_BATCH]))
 
     def create(self) -> None:
         """Make both tables and the log available; existing ones stay as they are."""
         for name in ("dimension", "facts", "mapping_log"):
             make_dir(self.spark, f"{self.base}/{name}")
 
+    def begin(self, batch_id: str) -> None:
+        """Hide the batch until it is finished."""
+        self._set_open({*self._open(), batch_id})
+
+    def finish(self, batch_id: str) -> None:
+        """Show the batch: facts, log and dimension at once."""
+        self._set_open({*self._open()} - {batch_id})
+
+    def _open(self) -> list[str]:
+        # The batch under way and those that broke off: a handful of names.
+        return [r.batch_id for r in self.open_table.read().collect()]
+
+    def _set_open(self, names: set[str]) -> None:
+        rows = [(name,) for name in sorted(names)]
+        self.open_table.write(self.spark.createDataFrame(rows, self.open_table.schema))
+
+    def _finished(self, rows: DataFrame) -> DataFrame:
+        names = self._open()
+        batch = F.col("batch_id")
+        return rows.where(batch.isNull() | ~batch.isin(names)) if names else rows
+
     def dimension(self) -> DataFrame:
-        return self.dimension_table.read()
+        return self._finished(self.dimension_table.read()).select(*DIMENSION.names)
 
     def facts(self, chrono_id: int | None = None) -> DataFrame:
         """All facts, or those of one chronogram: the bucket prunes folders, the id is pushed down."""
         schema = f"{_columns(FACT)}, batch_id string, id_bucket bigint"
-        rows = self.spark.read.schema(schema).parquet(f"{self.base}/facts")
+        rows = self._finished(self.spark.read.schema(schema).parquet(f"{self.base}/facts"))
         if chrono_id is not None:
             bucket = chrono_id // IDS_PER_BUCKET
             rows = rows.where(
@@ -62,17 +87,21 @@ class Store:
 
     def mapping_log(self) -> DataFrame:
         schema = f"{_columns(MAPPING_LOG)}, batch_id string"
-        return self.spark.read.schema(schema).parquet(f"{self.base}/mapping_log")
+        return self._finished(self.spark.read.schema(schema).parquet(f"{self.base}/mapping_log"))
 
-    def max_id(self) -> int:
-        return _largest(self.dimension(), "id_chronogramme")
+    def max_id(self, but: str | None = None) -> int:
+        """The largest stored id, without the rows of the batch ``but``, which is to be replaced."""
+        return _largest(_others(self.dimension_table.read(), but), "id_chronogramme")
 
-    def append_dimension(self, rows: DataFrame) -> int:
-        """New rows join the current ones in the next version; a known id is replaced."""
+    def append_dimension(self, rows: DataFrame, batch_id: str | None = None) -> int:
+        """New rows join the current ones in the next version; a known id is replaced, and so are the
+        earlier rows of the batch."""
         require_columns(rows, ["id_chronogramme", "nom_chronogramme"])
         new = with_schema(rows, DIMENSION.names)
-        kept = self.dimension().join(new.select("id_chronogramme"), "id_chronogramme", "left_anti")
-        return self.dimension_table.write(kept.select(*DIMENSION.names).unionByName(new))
+        others = _others(self.dimension_table.read(), batch_id)
+        kept = others.join(new.select("id_chronogramme"), "id_chronogramme", "left_anti")
+        named = new.withColumn("batch_id", F.lit(batch_id).cast("string"))
+        return self.dimension_table.write(kept.unionByName(named))
 
     def append_facts(self, rows: DataFrame, batch_id: str) -> None:
         """Append checked rows by name; global ids go on after the largest stored one.
@@ -98,7 +127,7 @@ class Store:
         """Set ``nb_injects`` to the number of stored facts, as a new version of the dimension."""
         counts = self.facts().groupBy("id_chronogramme").agg(F.count("*").alias("n"))
         return self.dimension_table.write(
-            with_counts(self.dimension(), counts.withColumnRenamed("n", "nb_new"))
+            with_counts(self.dimension_table.read(), counts.withColumnRenamed("n", "nb_new"))
         )
 
     def append_log(self, rows: DataFrame, batch_id: str, at: Column | None = None) -> None:
@@ -108,6 +137,10 @@ class Store:
         )
 
 
+def _others(rows: DataFrame, batch_id: str | None) -> DataFrame:
+    return rows if batch_id is None else rows.where(~F.col("batch_id").eqNullSafe(batch_id))
+
+
 def _largest(rows: DataFrame, column: str) -> int:
     return rows.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
 
@@ -116,7 +149,7 @@ def with_counts(dimension: DataFrame, counts: DataFrame) -> DataFrame:
     return (
         dimension.join(counts, "id_chronogramme", "left")
         .withColumn("nb_injects", F.coalesce("nb_new", F.lit(0)).cast("long"))
-        .select(*DIMENSION.names)
+        .select(*dimension.columns)
     )
 
 

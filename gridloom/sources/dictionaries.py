@@ -36,8 +36,16 @@ def _read_csv(spark, path: str, columns: list[str], header: bool) -> DataFrame:
 
     table = read("UTF-8")
     broken = F.contains(F.concat_ws("", *columns), F.lit("�"))
-    # Bytes that are no UTF-8 come back as replacement characters: read again as Latin-1.
-    return read("ISO-8859-1") if table.where(broken).limit(1).count() else table
+    # Bytes that are no UTF-8 come back as replacement characters: such files are read as Latin-1.
+    others = table.where(broken).select("line_no.path").distinct()
+    if others.isEmpty():
+        return table
+
+    def of(rows: DataFrame, how: str) -> DataFrame:
+        placed = rows.withColumn("path", F.col("line_no.path"))
+        return placed.join(others, "path", how).drop("path")
+
+    return of(table, "left_anti").unionByName(of(read("ISO-8859-1"), "left_semi"))
 
 
 def header_dictionary(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import cells_of
 from gridloom.model import TargetSchema
 from gridloom.operators.resolvers import table_resolver
@@ -73,7 +75,63 @@ def test_a_bad_file_does_not_stop_the_others(spark, tmp_path):
     assert len(ids) == 3 and len(set(ids)) == 3
     assert sorted(r.id_inject_global for r in parts[0].facts().collect()) == list(range(1, 7))
     table = monitor(spark, parts[0], f"{tmp_path}/store/run_logs", str(tmp_path / "report"))
-    assert table.columns[:2] == ["log_name", "chrono_id"]
+    assert sorted((r.log_name, r.chrono_id) for r in table.collect()) == sorted(
+        ("run_b2.log" if i == ids[-1] else "run_b1.log", i) for i in ids
+    )
+    assert all(0 < r.completeness <= 1 for r in table.collect())
+
+
+GOOD = [HEAD, ["T0", "x", "Majeur"], ["T1", "y", "Important"]]
+
+
+def state(store):
+    facts = sorted(tuple(r) for r in store.facts().drop("batch_id").fillna("-").collect())
+    parents = sorted((r.id_chronogramme, r.fichier_source, r.nb_injects) for r in store.dimension().collect())
+    log = sorted((r.id_chronogramme, r.scope, r.nom_original) for r in store.mapping_log().collect())
+    return facts, parents, log
+
+
+def test_every_file_has_an_outcome(spark, tmp_path):
+    parts = stores(spark, tmp_path)
+    cells, shapes = cells_of(spark, {("Été", 1, "S"): GOOD, ("/in/new.xlsx", 1, "S"): GOOD})
+    broken = spark.createDataFrame([("bad.xlsx", "BadZipFile")], "file_id string, reason string")
+    done = run_intake(
+        spark, *parts, cells, shapes, submissions(spark, "Été", "gone"), "b1", Options(schema=SCHEMA),
+        unreadable=broken,
+    )
+    assert {(r.file_name, r.status, r.reason) for r in done.outcome.collect()} == {
+        ("Été.xlsx", "OK", None), ("new.xlsx", "OK", None),
+        ("gone.xlsx", "ERROR", "no sheet"), ("bad.xlsx", "ERROR", "BadZipFile"),
+    }
+    assert {(r.nom_chronogramme, r.nb_injects) for r in parts[0].dimension().collect()} == {("Ete", 2), ("new", 2)}
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    parts = stores(spark, tmp_path)
+    sheets = {("a", 1, "S"): GOOD, ("b", 1, "S"): GOOD}
+    run(spark, parts, sheets, ["a", "b"])
+    once = state(parts[0])
+    run(spark, parts, sheets, ["a", "b"])
+    assert state(parts[0]) == once and len(once[1]) == 2
+
+
+def test_a_broken_run_shows_nothing_and_leaves_a_log(spark, tmp_path):
+    parts = stores(spark, tmp_path)
+    run(spark, parts, {("a", 1, "S"): GOOD}, ["a"])
+    before = state(parts[0])
+
+    class Broken(Store):
+        def append_dimension(self, rows, batch_id=None):
+            raise OSError("no space")
+
+    broken = (Broken(spark, parts[0].base), *parts[1:])
+    with pytest.raises(OSError):
+        run(spark, broken, {("b", 1, "S"): GOOD}, ["b"], batch="b2")
+    assert state(parts[0]) == before
+    log = spark.read.text(f"{tmp_path}/store/run_logs/run_b2.log")
+    assert log.where("value LIKE '%ECHEC%' AND value LIKE '%no space%'").count() == 1
+    run(spark, parts, {("b", 1, "S"): GOOD}, ["b"], batch="b2")
+    assert len(state(parts[0])[1]) == 2
 
 
 def test_file_without_the_closed_field_is_not_filtered(spark, tmp_path):
@@ -135,13 +193,13 @@ def test_submissions_are_named_and_registered(spark, tmp_path):
     from gridloom.plans.submissions import submit
 
     store, _, _ = stores(spark, tmp_path)
-    table = [(1, "f", "/tmp/src.xlsx", "Établissement Démo", "Plan A/B", "01/02/2024"), (2, "g", "x.csv", "x", "y", "z")]
+    table = [(1, "f", "/depot/u.xlsx", "Port à l'Est", "Feu 1/2", "24/12/2023"), (2, "g", "v.ods", "p", "q", "r")]
     columns = "ordinal long, file_id string, file_path string, etablissement_nom string, nom_chronogramme string, date_exercice string"
     rows = spark.createDataFrame(table, columns).selectExpr(
-        "*", "'L' AS lieu_exercice", "'T' AS etablissement_type", "'S' AS submitter", "'3' AS nb_injects"
+        "*", "'quai' AS lieu_exercice", "'port' AS etablissement_type", "'e' AS submitter", "'7' AS nb_injects"
     )
     done = [tuple(r) for r in submit(store, rows, "/data/inbox", "ordinal").collect()]
-    assert done == [("f", 1, "/data/inbox/Chronogramme_etablissement_demo_plan_a_b_2024-02-01.xlsx")]
+    assert done == [("f", 1, "/data/inbox/Chronogramme_port_a_l_est_feu_1_2_2023-12-24.xlsx")]
     row = store.dimension().first()
-    assert (row.id_chronogramme, row.nom_chronogramme, row.nb_injects) == (1, "Plan A/B", 3)
-    assert row.fichier_source.endswith("plan_a_b_2024-02-01.xlsx")
+    assert (row.id_chronogramme, row.nom_chronogramme, row.nb_injects) == (1, "Feu 1/2", 7)
+    assert row.fichier_source.endswith("feu_1_2_2023-12-24.xlsx")

@@ -243,6 +243,44 @@ def test_stream_reads_workbooks(spark, tmp_path):
     assert seen == ["x"]
 
 
+def test_two_streams_keep_their_facts(spark, tmp_path):
+    facts = store_of(spark, tmp_path)
+    schema = "id_chronogramme long, id_inject string"
+    append_once(facts, "north")(spark.createDataFrame([(1, "a")], schema), 0)
+    append_once(facts, "south")(spark.createDataFrame([(2, "a")], schema), 0)
+    assert pairs(facts.facts(), "id_chronogramme", "id_inject") == [(1, "a"), (2, "a")]
+
+
+def test_encoding_is_told_per_file(spark, tmp_path):
+    folder = tmp_path / "dict"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes("raw,standard\nÉmetteur,emetteur\n".encode())
+    (folder / "b.csv").write_bytes("raw,standard\nModalité,modalite\n".encode("latin-1"))
+    found = D.header_dictionary(spark, str(folder))
+    assert pairs(found, "raw") == [("Modalité",), ("Émetteur",)]
+
+
+def test_late_epoch_and_readings(spark, tmp_path):
+    import io
+    import zipfile
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    cells = '<c r="A1" t="s"><v>0</v></c><c r="B1" s="1"><v>1</v></c>'
+    changed = {
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData><row r="1">{cells}</row></sheetData></worksheet>',
+        "xl/sharedStrings.xml": f'<sst xmlns="{main}"><si><r><t>ba</t></r><r><t>se</t></r><rPh sb="0" eb="1"><t>PHON</t></rPh></si></sst>',
+        "xl/styles.xml": f'<styleSheet xmlns="{main}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>',
+    }
+    with zipfile.ZipFile(io.BytesIO(workbook_bytes({"S": {}}))) as book:
+        parts = {n: book.read(n).decode() for n in book.namelist()} | changed
+    parts["xl/workbook.xml"] = parts["xl/workbook.xml"].replace("<sheets>", '<workbookPr date1904="1"/><sheets>')
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as book:
+        for name, text in parts.items():
+            book.writestr(name, text)
+    found = load_workbooks(scan_workbooks(spark, str(tmp_path))).cells
+    assert pairs(found, "col_idx", "value") == [(1, "base"), (2, "1904-01-02 00:00:00")]
+
+
 def test_repeated_batches_change_nothing(spark, tmp_path):
     store = DictionaryStore(spark, str(tmp_path / "d"), VALUE_KEYS)
     reviewed = spark.createDataFrame([("c", "a", "Std")], "scope string, key string, standard string")
@@ -255,7 +293,7 @@ def test_repeated_batches_change_nothing(spark, tmp_path):
     assert store.table.version() == 1
     facts = store_of(spark, tmp_path)
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, None)], "id_chronogramme long, id_inject string")
-    append = append_once(facts)
+    append = append_once(facts, "inbox")
     append(rows, 0)
     append(rows, 0)
     append(rows.where("id_inject = 'a'"), 1)

@@ -95,3 +95,11 @@ def test_no_window_spans_a_whole_key(spark, function):
     # One window inside buckets, one over bucket summaries.
     assert len(windows) == 2
     assert sum("__bucket" in w.split("windowspecdefinition(")[1].split("ASC")[0] for w in windows) == 2
+
+
+def test_null_ordinals_are_an_error(spark):
+    from gridloom.operators import metadata
+
+    rows = spark.createDataFrame([("a", 1), ("b", None)], "file_id string, ordinal long")
+    with pytest.raises(Exception, match="null in"):
+        metadata.assign_ids(rows, 0, "ordinal").collect()
