@@ -443,5 +443,26 @@ def stream_dedup(spark, sf):
     for turn in range(2):
         wave = rows.where(F.col("row_idx") % 2 == turn).select("id_chronogramme", "id_inject", "horodatage")
         wave.write.mode("append").parquet(f"{base}/in")
-        process_new_files(spark, f"{base}/in", append_once(store), f"{base}/checkpoint", schema, "parquet")
+        process_new_files(spark, f"{base}/in", append_once(store, "waves"), f"{base}/checkpoint", schema, "parquet")
     return store.facts().select("id_chronogramme", "id_inject", "horodatage")
+
+
+@query(
+    "stream_two_sources",
+    f"""WITH {FACTS_SQL} SELECT DISTINCT id_chronogramme, id_inject FROM facts
+        WHERE id_chronogramme IS NOT NULL AND id_inject IS NOT NULL""",
+)
+def stream_two_sources(spark, sf):
+    """Two folders with checkpoints of their own fill one store; each counts its batches from 0."""
+    base = scratch_path(spark, "stream_two_sources")
+    store = Store(spark, f"{base}/store")
+    store.create()
+    rows = facts(spark, sf).where("id_chronogramme IS NOT NULL AND id_inject IS NOT NULL")
+    schema = "id_chronogramme bigint, id_inject string"
+    for turn, name in enumerate(("north", "south")):
+        part = rows.where(F.col("row_idx") % 2 == turn).select("id_chronogramme", "id_inject")
+        part.write.parquet(f"{base}/{name}")
+        process_new_files(
+            spark, f"{base}/{name}", append_once(store, name), f"{base}/cp-{name}", schema, "parquet"
+        )
+    return store.facts().select("id_chronogramme", "id_inject")
