@@ -4,9 +4,10 @@ Terms are the words of the benchmark. One pass over the texts writes each as a r
 everything later reads that. Blocks of ``BLOCK`` words are weighted by TF-IDF over the whole corpus. A
 randomised SVD finds the latent space: each task adds up its share of A'(AX) for a random X drawn
 in the span of the items, Spark sums the shares by term, and the driver takes the singular directions
-from that matrix of terms by ranks. Every window of two blocks is compared with every item by
-cosine. A window that comes near an item, and holds enough of its words in any order, is checked by the longest common subsequence of words, within a stretch not much longer than the
-item. If nearly all words are there it is a copy; if most are, the end of the item, where its answer
+from that matrix of terms by ranks. Items longer than a window are also cut into parts that fit one.
+Every window of two blocks is compared with every item and part by cosine. Where one comes near, and
+holds enough of the words of the item or part in any order, the text around is checked for the whole
+item by the longest common subsequence of words, within a stretch not much longer than the item. If nearly all words are there it is a copy; if most are, the end of the item, where its answer
 stands, must be there too: then it is a paraphrase.
 
 The benchmark is held by every task, so its size is checked (``MOST_ITEMS``); documents are never
@@ -39,7 +40,7 @@ EXTRA = 8
 COMMON = 0.02
 #: Cosine at which a window is a candidate.
 NEAR = 0.45
-#: Part of an item's weights that the words of a window must hold, whatever their order.
+#: Part of the weights of an item, or of a part of it, that the words of a window must hold, whatever their order.
 HELD = 0.35
 CACHED = 1000
 #: Parts of an item's words: a copy, and a paraphrase if the answer is there too.
@@ -67,7 +68,9 @@ class Item:
 
     def __init__(self, key: int, terms: np.ndarray):
         self.key, self.terms, self.size = key, terms, len(terms)
-        self.masks = self._masks(terms)
+        self.masks, self.own = self._masks(terms), np.unique(terms)
+        #: Words of a stretch of text that is searched for the whole item.
+        self.span = self.size + self.size // 4 + 4
         tail = terms[-max(min(ANSWER_WORDS, self.size), int(self.size * ANSWER_PART)) :]
         self.tail_masks, self.tail_size = self._masks(tail), len(tail)
 
@@ -80,10 +83,13 @@ class Item:
 
     def match(self, words: np.ndarray) -> tuple[float, float, int]:
         """Best part of the item's words in order, that of its end there, and where it begins."""
-        span = self.size + self.size // 4 + 4
         best = (0.0, 0.0, 0)
-        for at in range(0, max(1, len(words) - self.size // 2), max(1, self.size // 6)):
-            here = words[at : at + span].tolist()
+        places = np.arange(0, max(1, len(words) - self.size // 2), max(1, self.size // 12))
+        # No more words can stand in order than stand there at all.
+        held = np.concatenate([[0], np.cumsum(np.isin(words, self.own))])
+        most = held[np.minimum(places + self.span, len(words))] - held[places]
+        for at in places[most / self.size >= PARAPHRASE].tolist():
+            here = words[at : at + self.span].tolist()
             part = lcs(self.masks, self.size, here) / self.size
             if part > best[0]:
                 best = (part, lcs(self.tail_masks, self.tail_size, here) / self.tail_size, at)
@@ -104,6 +110,13 @@ class Benchmark:
             if len(w)
         ]
         self.kind = np.uint16 if len(self.hashes) < 65_535 else np.uint32
+        #: What windows are compared with: parts that fit one, then the items that were cut; and the
+        #: item of each.
+        cut = [np.array_split(i.terms, -(-i.size // (2 * BLOCK))) for i in self.items]
+        self.parts = sum(map(len, cut))
+        whole = [n for n, parts in enumerate(cut) if len(parts) > 1]
+        self.targets = [p for parts in cut for p in parts] + [self.items[n].terms for n in whole]
+        self.item_of = np.array([n for n, parts in enumerate(cut) for _ in parts] + whole, np.int64)
 
     def terms(self, words: np.ndarray) -> np.ndarray:
         """Term numbers of words, 0 for words that are in no item."""
@@ -154,11 +167,14 @@ class Space:
                 out[block[some]] = np.add.reduceat(rows, some - some[0], axis=0)
         return out
 
-    def item_vectors(self, items: list[Item]) -> np.ndarray:
-        out = np.zeros((len(items), len(self.weights)), np.float32)
-        for i, item in enumerate(items):
-            np.add.at(out[i], item.terms, self.weights[item.terms])
-        return out
+    def of_targets(self, targets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Target, term and weight, in this order."""
+        number = np.repeat(np.arange(len(targets)), [len(t) for t in targets])
+        keys, times = np.unique(number * len(self.weights) + np.concatenate(targets), return_counts=True)
+        target, term = np.divmod(keys, len(self.weights))
+        weight = times.astype(np.float32) * self.weights[term]
+        used = weight > 0
+        return target[used], term[used], weight[used]
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -255,10 +271,16 @@ def _shares(matrix: np.ndarray) -> pa.RecordBatch:
 def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int) -> np.ndarray:
     """Terms by ranks: the leading right singular vectors of the weighted blocks."""
     context = rows.sparkSession.sparkContext
-    vectors = unit(space.item_vectors(benchmark.items))
-    width = min(rank + EXTRA, max(1, len(benchmark.items)))
-    draw = np.random.default_rng(7).standard_normal((len(vectors), width))
-    start = np.linalg.qr(vectors.T @ draw)[0]
+    target, term, weight = space.of_targets(benchmark.targets[: benchmark.parts])
+    length = np.sqrt(np.bincount(target, weight * weight, minlength=benchmark.parts))
+    width = min(rank + EXTRA, max(1, benchmark.parts))
+    draw = np.random.default_rng(7).standard_normal((benchmark.parts, width))
+    start = np.zeros((len(space.weights), width))
+    for at in range(0, len(term), 20_000):
+        some = slice(at, at + 20_000)
+        share = weight[some] / length[target[some]]
+        np.add.at(start, term[some], draw[target[some]] * share[:, None])
+    start = np.linalg.qr(start)[0]
     width = start.shape[1]
     sketch = context.broadcast((space, start.astype(np.float32)))
 
@@ -297,12 +319,13 @@ def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int)
 def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         benchmark, space = shared.value
-        vectors = space.item_vectors(benchmark.items)
-        targets = unit(vectors @ space.basis).T
-        # (item, term) in order, and the term's part of the item's weights.
-        worth = vectors / np.maximum(vectors.sum(1, keepdims=True), 1e-9)
-        own = np.flatnonzero(worth)
-        worth = worth.ravel()[own]
+        number = len(benchmark.targets)
+        target, term, weight = space.of_targets(benchmark.targets)
+        targets = unit(space.project(target, term, weight, number, space.basis)).T
+        # (target, term) in order, and the term's part of the target's weights.
+        own = target * len(space.weights) + term
+        worth = weight / np.bincount(target, weight, minlength=number)[target]
+        together = max(1, 40_000_000 // number)
         for batch in sliced(batches, 500):
             terms, starts = _laid(batch, benchmark.kind)
             block, term, weight, first = space.triplets(terms, starts)
@@ -312,10 +335,11 @@ def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
             following[:-1] = z[1:]
             following[first[1:] - 1] = 0
             windows = unit(z + following)
-            hits: dict[tuple[int, int], tuple[float, float, int]] = {}
+            # Stretches of a document that may hold an item; those that overlap are one.
+            around: dict[tuple[int, int], list[list[int]]] = {}
             begins = np.searchsorted(block, np.arange(int(first[-1]) + 1))
-            for at in range(0, len(windows), 20_000):
-                where, which = np.nonzero(windows[at : at + 20_000] @ targets >= near)
+            for at in range(0, len(windows), together):
+                where, which = np.nonzero(windows[at : at + together] @ targets >= near)
                 where += at
                 docs = np.searchsorted(first, where, side="right") - 1
                 # The terms of a window's one or two blocks stand side by side.
@@ -327,12 +351,21 @@ def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
                 held = np.where(own[spot] == pairs, worth[spot], 0)
                 held = np.bincount(np.repeat(np.arange(len(where)), sizes), held, minlength=len(where))
                 likely = held >= HELD
-                found = (where[likely].tolist(), docs[likely].tolist(), which[likely].tolist())
+                found = (where[likely].tolist(), docs[likely].tolist(), benchmark.item_of[which[likely]].tolist())
                 for w, d, i in zip(*found, strict=True):
                     item = benchmark.items[i]
                     begin = starts[d] + (w - first[d]) * BLOCK
-                    low = max(starts[d], begin - item.size)
-                    best = item.match(terms[low : min(starts[d + 1], begin + 2 * BLOCK + item.size)])
+                    low = int(max(starts[d], begin - item.span))
+                    high = int(min(starts[d + 1], begin + 2 * BLOCK + item.span))
+                    seen = around.setdefault((d, i), [])
+                    if seen and low <= seen[-1][1]:
+                        seen[-1][1] = high
+                    else:
+                        seen.append([low, high])
+            hits: dict[tuple[int, int], tuple[float, float, int]] = {}
+            for (d, i), seen in around.items():
+                for low, high in seen:
+                    best = benchmark.items[i].match(terms[low:high])
                     if best[0] > hits.get((d, i), (0.0,))[0]:
                         hits[d, i] = (best[0], best[1], int(low - starts[d]) + best[2])
             kept = [

@@ -176,6 +176,19 @@ def test_benchmark_items_are_found(spark):
     assert contaminated(documents(spark, texts), benchmark.limit(0)).count() == 0
 
 
+def test_long_items_are_found(spark):
+    items = [(k, " ".join(prose(300 + k, n))) for k, n in enumerate([300, 240, 600, 30, 59])]
+    texts = [(i, " ".join(prose(i + 600, 400))) for i in range(30)]
+    texts += [(200 + k, " ".join(prose(950 + k, 70 + k) + [t] + prose(960, 60))) for k, t in items]
+    words = items[0][1].split()
+    reworded = [w if k % 4 else "zz" for k, w in enumerate(words)]
+    texts += [(300, " ".join(reworded)), (301, " ".join(words[:100] + prose(970, 300)))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = contaminated(documents(spark, texts), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(200 + k, k) for k, _ in items} | {(300, 0)}
+    assert all(r.matched == 1 for r in rows if r.doc_id < 300)
+
+
 def test_line_runs(spark):
     run = "\n".join(" ".join(prose(k, 30)) for k in (1, 2))
     texts = [(1, f"top\n{run}\nend"), (2, f"other\n{run}\nlast"), (3, " ".join(prose(1, 30))), (4, None), (5, "")]
