@@ -10,7 +10,9 @@ holds enough of the words of the item or part in any order, the text around is c
 item by the longest common subsequence of words, within a stretch not much longer than the item. If nearly all words are there it is a copy; if most are, the end of the item, where its answer
 stands, must be there too: then it is a paraphrase.
 
-The benchmark is held by every task, so its size is checked (``MOST_ITEMS``); documents are never
+A large benchmark is gone through in groups of items (``MOST_TARGETS``): the texts are written as
+terms and counted once, then each group has a latent space and a search of its own. Every task holds
+the words of the benchmark and the items of one group; the driver holds all items. Documents are never
 gathered anywhere.
 
 Nulls and edge cases: null and empty texts hold nothing; items without words are never found, rows
@@ -21,6 +23,7 @@ table gives an empty result. Only the named columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,8 @@ from gridloom.llm.common import cut_lineage, shuffle_partitions, sliced, utf8
 from gridloom.llm.words import NOT_IN_WORDS, word_arrays
 from gridloom.operators.lookup import lookup_join
 
-MOST_ITEMS = 2_000
+#: Items and parts of items that one search compares with; beyond it there are several searches.
+MOST_TARGETS = 2_000
 BLOCK = 24
 RANK = 96
 EXTRA = 8
@@ -110,13 +114,6 @@ class Benchmark:
             if len(w)
         ]
         self.kind = np.uint16 if len(self.hashes) < 65_535 else np.uint32
-        #: What windows are compared with: parts that fit one, then the items that were cut; and the
-        #: item of each.
-        cut = [np.array_split(i.terms, -(-i.size // (2 * BLOCK))) for i in self.items]
-        self.parts = sum(map(len, cut))
-        whole = [n for n, parts in enumerate(cut) if len(parts) > 1]
-        self.targets = [p for parts in cut for p in parts] + [self.items[n].terms for n in whole]
-        self.item_of = np.array([n for n, parts in enumerate(cut) for _ in parts] + whole, np.int64)
 
     def terms(self, words: np.ndarray) -> np.ndarray:
         """Term numbers of words, 0 for words that are in no item."""
@@ -126,18 +123,66 @@ class Benchmark:
         return np.where(self.hashes[at] == words, at + 1, 0).astype(self.kind)
 
 
+    def groups(self, most: int) -> Iterator[Group]:
+        """The items in groups of at most ``most`` items and parts; a longer item is one by itself."""
+        some, held = [], 0
+        for item in self.items:
+            parts = len(parts_of(item.terms))
+            size = parts + (parts > 1)
+            if some and held + size > most:
+                yield Group(some, self)
+                some, held = [], 0
+            some.append(item)
+            held += size
+        if some:
+            yield Group(some, self)
+
+
+def parts_of(terms: np.ndarray) -> list[np.ndarray]:
+    """The item, or parts of it that fit a window."""
+    return np.array_split(terms, -(-len(terms) // (2 * BLOCK)))
+
+
+class Group:
+    """Some items of a benchmark, their terms numbered anew from 1."""
+
+    def __init__(self, items: list[Item], benchmark: Benchmark):
+        self.kind = benchmark.kind
+        #: The benchmark's terms that are in these items, after the 0 of all others.
+        self.known = np.unique(np.concatenate([[0], *[i.terms for i in items]])).astype(np.int64)
+        self.number = np.zeros(len(benchmark.hashes) + 1, np.int32)
+        self.number[self.known] = np.arange(len(self.known))
+        self.items = [Item(i.key, self.number[i.terms]) for i in items]
+        #: What windows are compared with: parts that fit one, then the items that were cut; and the
+        #: item of each.
+        cut = [parts_of(i.terms) for i in self.items]
+        self.parts = sum(map(len, cut))
+        whole = [n for n, parts in enumerate(cut) if len(parts) > 1]
+        self.targets = [p for parts in cut for p in parts] + [self.items[n].terms for n in whole]
+        self.item_of = np.array([n for n, parts in enumerate(cut) for _ in parts] + whole, np.int64)
+
+    def laid(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """The texts of a batch in the group's terms one after the other, and where each begins."""
+        terms, starts = _laid(batch, self.kind)
+        return self.number[terms].astype(np.int64), starts
+
+
+def term_weights(benchmark: Benchmark, blocks_with: np.ndarray, blocks: int) -> np.ndarray:
+    items_with = np.zeros(len(benchmark.hashes) + 1)
+    for item in benchmark.items:
+        items_with[np.unique(item.terms)] += 1
+    common = (blocks_with > COMMON * blocks) & (items_with > COMMON * len(benchmark.items))
+    weights = np.log(1 + blocks / np.maximum(blocks_with, 1)).astype(np.float32)
+    weights[common] = 0
+    weights[0] = 0
+    return weights
+
+
 class Space:
     """Weights of terms and, once found, the latent directions."""
 
-    def __init__(self, benchmark: Benchmark, blocks_with: np.ndarray, blocks: int):
-        self.kind, size = benchmark.kind, len(benchmark.hashes) + 1
-        items_with = np.zeros(size)
-        for item in benchmark.items:
-            items_with[np.unique(item.terms)] += 1
-        common = (blocks_with > COMMON * blocks) & (items_with > COMMON * len(benchmark.items))
-        self.weights = np.log(1 + blocks / np.maximum(blocks_with, 1)).astype(np.float32)
-        self.weights[common] = 0
-        self.weights[0] = 0
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
         self.basis: np.ndarray | None = None
 
     def triplets(self, terms: np.ndarray, starts: np.ndarray) -> tuple:
@@ -209,8 +254,8 @@ def _block_counts(rows: DataFrame, shared: Broadcast) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         benchmark: Benchmark = shared.value
         size = len(benchmark.hashes) + 1
-        every = Space(benchmark, np.ones(size), 2)
-        every.weights[1:] = 1
+        every = Space(np.ones(size, np.float32))
+        every.weights[0] = 0
         total = np.zeros(size, np.int64)
         for batch in sliced(batches, 500):
             terms, starts = _laid(batch, benchmark.kind)
@@ -268,13 +313,13 @@ def _shares(matrix: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int) -> np.ndarray:
+def latent_space(rows: DataFrame, space: Space, group: Group, rank: int) -> np.ndarray:
     """Terms by ranks: the leading right singular vectors of the weighted blocks."""
     context = rows.sparkSession.sparkContext
-    target, term, weight = space.of_targets(benchmark.targets[: benchmark.parts])
-    length = np.sqrt(np.bincount(target, weight * weight, minlength=benchmark.parts))
-    width = min(rank + EXTRA, max(1, benchmark.parts))
-    draw = np.random.default_rng(7).standard_normal((benchmark.parts, width))
+    target, term, weight = space.of_targets(group.targets[: group.parts])
+    length = np.sqrt(np.bincount(target, weight * weight, minlength=group.parts))
+    width = min(rank + EXTRA, max(1, group.parts))
+    draw = np.random.default_rng(7).standard_normal((group.parts, width))
     start = np.zeros((len(space.weights), width))
     for at in range(0, len(term), 20_000):
         some = slice(at, at + 20_000)
@@ -282,18 +327,18 @@ def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int)
         np.add.at(start, term[some], draw[target[some]] * share[:, None])
     start = np.linalg.qr(start)[0]
     width = start.shape[1]
-    sketch = context.broadcast((space, start.astype(np.float32)))
+    sketch = context.broadcast((group, space, start.astype(np.float32)))
 
-    def blocks_of(batches: Iterator[pa.RecordBatch], space: Space):
+    def blocks_of(batches: Iterator[pa.RecordBatch], group: Group, space: Space):
         for batch in sliced(batches, 500):
-            block, term, weight, first = space.triplets(*_laid(batch, space.kind))
+            block, term, weight, first = space.triplets(*group.laid(batch))
             length = np.sqrt(np.bincount(block, weight * weight, minlength=int(first[-1])))
             yield block, term, (weight / length[block]).astype(np.float32), int(first[-1])
 
     def pull(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, to = sketch.value
+        group, space, to = sketch.value
         total = np.zeros(to.shape, np.float32)
-        for block, term, weight, n in blocks_of(batches, space):
+        for block, term, weight, n in blocks_of(batches, group, space):
             z = space.project(block, term, weight, n, to)
             order = np.argsort(term, kind="stable")
             term, starts = np.unique(term[order], return_index=True)
@@ -306,6 +351,7 @@ def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int)
         yield _shares(total)
 
     pulled = _summed(rows.mapInArrow(pull, "place int, row binary"), width)
+    sketch.destroy()
     pulled = np.vstack([pulled, np.zeros((len(space.weights) - len(pulled), width))])
     # One pass is enough for a symmetric matrix: its singular vectors follow from what it makes of
     # the sketch (Nystrom), a little of which keeps directions that no document has.
@@ -318,16 +364,16 @@ def latent_space(rows: DataFrame, space: Space, benchmark: Benchmark, rank: int)
 
 def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        benchmark, space = shared.value
-        number = len(benchmark.targets)
-        target, term, weight = space.of_targets(benchmark.targets)
+        group, space = shared.value
+        number = len(group.targets)
+        target, term, weight = space.of_targets(group.targets)
         targets = unit(space.project(target, term, weight, number, space.basis)).T
         # (target, term) in order, and the term's part of the target's weights.
         own = target * len(space.weights) + term
         worth = weight / np.bincount(target, weight, minlength=number)[target]
         together = max(1, 40_000_000 // number)
         for batch in sliced(batches, 500):
-            terms, starts = _laid(batch, benchmark.kind)
+            terms, starts = group.laid(batch)
             block, term, weight, first = space.triplets(terms, starts)
             z = space.project(block, term, weight, int(first[-1]), space.basis)
             # A window is a block and the next one of the same text.
@@ -351,9 +397,9 @@ def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
                 held = np.where(own[spot] == pairs, worth[spot], 0)
                 held = np.bincount(np.repeat(np.arange(len(where)), sizes), held, minlength=len(where))
                 likely = held >= HELD
-                found = (where[likely].tolist(), docs[likely].tolist(), benchmark.item_of[which[likely]].tolist())
+                found = (where[likely].tolist(), docs[likely].tolist(), group.item_of[which[likely]].tolist())
                 for w, d, i in zip(*found, strict=True):
-                    item = benchmark.items[i]
+                    item = group.items[i]
                     begin = starts[d] + (w - first[d]) * BLOCK
                     low = int(max(starts[d], begin - item.span))
                     high = int(min(starts[d + 1], begin + 2 * BLOCK + item.span))
@@ -365,11 +411,11 @@ def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
             hits: dict[tuple[int, int], tuple[float, float, int]] = {}
             for (d, i), seen in around.items():
                 for low, high in seen:
-                    best = benchmark.items[i].match(terms[low:high])
+                    best = group.items[i].match(terms[low:high])
                     if best[0] > hits.get((d, i), (0.0,))[0]:
                         hits[d, i] = (best[0], best[1], int(low - starts[d]) + best[2])
             kept = [
-                (d, benchmark.items[i].key, part, end, at)
+                (d, group.items[i].key, part, end, at)
                 for (d, i), (part, end, at) in hits.items()
                 if part >= COPY or (part >= PARAPHRASE and end >= ANSWER)
             ]
@@ -400,15 +446,13 @@ def contaminated(
     item_text_col: str = "text",
     rank: int = RANK,
     near: float = NEAR,
+    most_targets: int = MOST_TARGETS,
 ) -> DataFrame:
     """One row per document and item in it: id, item_id, matched and answer (parts of the item's
     words and of its end), word (place in the text) and kind (copy or paraphrase)."""
     spark = df.sparkSession
     named = benchmark.select(F.col(f"`{item_col}`").cast("long"), F.lower(f"`{item_text_col}`"))
-    items = named.limit(MOST_ITEMS + 1).collect()
-    if len(items) > MOST_ITEMS:
-        raise ValueError(f"more than {MOST_ITEMS} benchmark items")
-    known = Benchmark([tuple(r) for r in items])
+    known = Benchmark([tuple(r) for r in named.collect()])
     shared = spark.sparkContext.broadcast(known)
     docs = df.select(F.col(f"`{id_col}`").alias("id"), utf8(F.lower(f"`{text_col}`")).alias("data"))
     out = f"`{id_col}` {docs.schema['id'].dataType.simpleString()}, item_id long, matched double"
@@ -419,9 +463,16 @@ def contaminated(
     counts, blocks = _block_counts(rows, shared)
     if not blocks:
         return spark.createDataFrame([], out)
-    space = Space(known, counts, blocks)
-    space.basis = latent_space(rows, space, known, rank)
-    found = _search(rows, spark.sparkContext.broadcast((known, space)), near)
+    weights = term_weights(known, counts, blocks)
+    hits = []
+    for group in known.groups(most_targets):
+        space = Space(weights[group.known])
+        space.basis = latent_space(rows, space, group, rank)
+        held = spark.sparkContext.broadcast((group, space))
+        # Written, so that only one group is held at a time.
+        hits.append(cut_lineage(_search(rows, held, near), "hits"))
+        held.destroy()
+    found = reduce(DataFrame.unionByName, hits)
     kind = F.when(F.col("matched") >= COPY, "copy").otherwise("paraphrase")
     return found.select(
         F.col("id").alias(id_col),

@@ -189,6 +189,18 @@ def test_long_items_are_found(spark):
     assert all(r.matched == 1 for r in rows if r.doc_id < 300)
 
 
+def test_large_benchmarks_are_searched_in_groups(spark):
+    items = [(k, " ".join(prose(5000 + k, 15 if k % 100 else 120))) for k in range(2300)]
+    texts = [(k, " ".join(prose(8000 + k, 60) + [t] + prose(9000, 40))) for k, t in items[::115]]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = contaminated(documents(spark, texts), benchmark).collect()
+    assert {(k, k) for k, _ in texts} <= {(r.doc_id, r.item_id) for r in rows}
+    some = spark.createDataFrame(items[:116], "item_id long, text string")
+    one, many = (contaminated(documents(spark, texts[:2]), some, **m).collect() for m in ({}, {"most_targets": 7}))
+    assert {(r.doc_id, r.item_id, r.matched) for r in one} == {(r.doc_id, r.item_id, r.matched) for r in many}
+    assert {(r.doc_id, r.item_id) for r in many} == {(0, 0), (115, 115)}
+
+
 def test_line_runs(spark):
     run = "\n".join(" ".join(prose(k, 30)) for k in (1, 2))
     texts = [(1, f"top\n{run}\nend"), (2, f"other\n{run}\nlast"), (3, " ".join(prose(1, 30))), (4, None), (5, "")]
