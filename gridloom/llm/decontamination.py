@@ -40,8 +40,9 @@ MOST_TARGETS = 2_000
 BLOCK = 24
 RANK = 96
 EXTRA = 8
-#: A term in more than this part of all blocks and of all items says nothing about an item.
-COMMON = 0.02
+#: A term in more than this part of all blocks and of all items, and in several items, says nothing
+#: about an item.
+COMMON, SEVERAL = 0.02, 5
 #: Cosine at which a window is a candidate.
 NEAR = 0.45
 #: Part of the weights of an item, or of a part of it, that the words of a window must hold, whatever their order.
@@ -172,6 +173,13 @@ def term_weights(benchmark: Benchmark, blocks_with: np.ndarray, blocks: int) ->
     for item in benchmark.items:
         items_with[np.unique(item.terms)] += 1
     common = (blocks_with > COMMON * blocks) & (items_with > COMMON * len(benchmark.items))
+    # A text that is copied often makes all words of the items in it frequent.
+    common &= items_with >= SEVERAL
+    # What is compared with windows keeps some weight.
+    for item in benchmark.items:
+        for part in (item.terms, *parts_of(item.terms)):
+            if common[part].all():
+                common[part] = False
     weights = np.log(1 + blocks / np.maximum(blocks_with, 1)).astype(np.float32)
     weights[common] = 0
     weights[0] = 0

@@ -201,6 +201,20 @@ def test_large_benchmarks_are_searched_in_groups(spark):
     assert {(r.doc_id, r.item_id) for r in many} == {(0, 0), (115, 115)}
 
 
+def test_items_copied_into_a_third_of_the_rows(spark):
+    items = [(k, " ".join(prose(100 + k, 30))) for k in range(12)]
+    items += [(20 + k, " ".join([*prose(77, 10)] * 2)) for k in range(6)]
+    hot = " ".join(prose(910, 90) + items[3][1].split() + prose(911, 80))
+    texts = [(i, hot if i % 3 == 0 else " ".join(prose(i + 500, 200))) for i in range(90)]
+    texts += [(200, " ".join(prose(920, 40) + items[3][1].split() + prose(921, 40)))]
+    texts += [(201 + i, " ".join(prose(930 + i, 30) + items[12][1].split())) for i in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = contaminated(documents(spark, texts), benchmark).collect()
+    want = {(i, 3) for i in [*range(0, 90, 3), 200]}
+    want |= {(201 + i, 20 + k) for i in range(40) for k in range(6)}
+    assert {(r.doc_id, r.item_id) for r in rows} == want
+
+
 def test_line_runs(spark):
     run = "\n".join(" ".join(prose(k, 30)) for k in (1, 2))
     texts = [(1, f"top\n{run}\nend"), (2, f"other\n{run}\nlast"), (3, " ".join(prose(1, 30))), (4, None), (5, "")]
