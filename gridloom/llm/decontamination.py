@@ -87,7 +87,8 @@ class Item:
         return masks
 
     def match(self, words: np.ndarray) -> tuple[float, float, int]:
-        """Best part of the item's words in order, that of its end there, and where it begins."""
+        """Best part of the item's words in order, that of its end there, and where it begins; of the
+        places that are a copy or a paraphrase, or else zeros."""
         best = (0.0, 0.0, 0)
         places = np.arange(0, max(1, len(words) - self.size // 2), max(1, self.size // 12))
         # No more words can stand in order than stand there at all.
@@ -96,8 +97,10 @@ class Item:
         for at in places[most / self.size >= PARAPHRASE].tolist():
             here = words[at : at + self.span].tolist()
             part = lcs(self.masks, self.size, here) / self.size
-            if part > best[0]:
-                best = (part, lcs(self.tail_masks, self.tail_size, here) / self.tail_size, at)
+            if part > best[0] and part >= PARAPHRASE:
+                end = lcs(self.tail_masks, self.tail_size, here) / self.tail_size
+                if part >= COPY or end >= ANSWER:
+                    best = (part, end, at)
         return best
 
 
@@ -425,7 +428,6 @@ def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
             kept = [
                 (d, group.items[i].key, part, end, at)
                 for (d, i), (part, end, at) in hits.items()
-                if part >= COPY or (part >= PARAPHRASE and end >= ANSWER)
             ]
             columns = list(zip(*kept, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(

@@ -215,6 +215,20 @@ def test_items_copied_into_a_third_of_the_rows(spark):
     assert {(r.doc_id, r.item_id) for r in rows} == want
 
 
+def test_every_place_is_judged(spark):
+    items = [(k, " ".join(prose(100 + k, 40))) for k in range(12)]
+    words = items[4][1].split()
+    quoted, reworded = words[:30], [w for k, w in enumerate(words) if k >= 30 or k % 2]
+    for gap in (10, 200):
+        texts = [(i, " ".join(prose(i + 500, 200))) for i in range(30)]
+        texts += [(200, " ".join(prose(940, 60) + quoted + prose(941, gap) + reworded + prose(942, 30)))]
+        texts += [(201, " ".join(prose(943, 60) + quoted + prose(944, 60)))]
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        rows = contaminated(documents(spark, texts), benchmark).collect()
+        assert [(r.doc_id, r.item_id, r.kind) for r in rows] == [(200, 4, "paraphrase")]
+        assert rows[0].answer >= 0.75
+
+
 def test_line_runs(spark):
     run = "\n".join(" ".join(prose(k, 30)) for k in (1, 2))
     texts = [(1, f"top\n{run}\nend"), (2, f"other\n{run}\nlast"), (3, " ".join(prose(1, 30))), (4, None), (5, "")]
