@@ -12,6 +12,7 @@ from gridloom.llm.decontamination import contaminated
 from gridloom.llm.exact_dedup import exact_groups
 from gridloom.llm.jaccard_join import near_duplicates
 from gridloom.llm.language_id import identify
+from gridloom.llm.lexical_search import search_items
 from gridloom.llm.licenses import scan_licenses
 from gridloom.llm.line_dedup import dedup_lines
 from gridloom.llm.packing import pack_documents
@@ -99,6 +100,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_runs", *best, "runs_sha256", "collapsed_sha256")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), best=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
@@ -112,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "op11_quality_rules": op11_quality_rules,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
@@ -238,5 +244,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM rated d LEFT JOIN (SELECT s.lang, s.cut, true AS there FROM sets s JOIN taken k
                         ON s.lang IS NOT DISTINCT FROM k.lang AND s.t = k.t) s
   ON d.lang IS NOT DISTINCT FROM s.lang
+""",
+    "op13_lexical_search": r"""
+WITH found AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+corpus AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS total FROM found WHERE len(t) > 0),
+counts AS MATERIALIZED (
+  SELECT rid, doc_id, term, len(any_value(t)) AS n, count(*) AS tf
+  FROM found, unnest(t) AS u(term) GROUP BY rid, doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, corpus GROUP BY term, docs),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, rid, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM items JOIN counts USING (term) JOIN weights USING (term), corpus GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10
 """,
 }
