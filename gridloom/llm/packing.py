@@ -16,6 +16,7 @@ named columns are read, so others may have any name.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -41,10 +42,18 @@ def id_words(tokenizer_file: str) -> WordCache:
     """Ids of a word, as little-endian 32-bit numbers.
 
     The tokenizer ignores case and never joins a letter with punctuation, so a word in capitals or
-    with a comma is looked up by its parts. Words that may hold a special token are left whole.
+    with a comma is looked up by its parts. Words that may hold a special token are left whole. A
+    tokenizer that is not of this kind is refused.
     """
     from tokenizers import Tokenizer
 
+    with open(tokenizer_file, encoding="utf-8") as f:
+        kind = json.load(f)
+    kinds = [kind.get("normalizer") or {}, kind.get("pre_tokenizer") or {}]
+    steps = [s.get("type") for k in kinds for s in (k.get("normalizers") or k.get("pretokenizers") or [k])]
+    if "Lowercase" not in steps or "Split" not in steps:
+        raise ValueError(f"{tokenizer_file} does not fold case and split at white space")
+
     tokenizer = Tokenizer.from_file(tokenizer_file)
 
     def ids(word: bytes) -> bytes:
@@ -53,7 +62,8 @@ def id_words(tokenizer_file: str) -> WordCache:
             if small != word:
                 return words[small]
             core = word.rstrip(b".,!?;:")
-            if core and core != word and core.decode("utf-8", "replace")[-1].isalpha():
+            # Lower case may end in a mark, which the tokenizer joins with the punctuation.
+            if core and core != word and core.decode("utf-8", "replace").lower()[-1].isalpha():
                 return words[core] + words[word[len(core) :]]
         found = tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         return b"".join([i.to_bytes(4, "little") for i in found])
