@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut_lineage, shuffle_partitions, sliced, utf8
+from gridloom.llm.common import cut_lineage, nothing_kept, shuffle_partitions, sliced, utf8
 from gridloom.llm.words import NOT_IN_WORDS, word_arrays
 from gridloom.operators.lookup import lookup_join
 
@@ -48,6 +48,8 @@ NEAR = 0.45
 #: Part of the weights of an item, or of a part of it, that the words of a window must hold, whatever their order.
 HELD = 0.35
 CACHED = 1000
+#: Windows times targets that are compared at once.
+TOGETHER = 2_000_000
 #: Parts of an item's words: a copy, and a paraphrase if the answer is there too.
 COPY = 0.8
 PARAPHRASE = 0.55
@@ -247,6 +249,7 @@ def _laid(batch: pa.RecordBatch, kind) -> tuple[np.ndarray, np.ndarray]:
 
 def _term_rows(docs: DataFrame, shared: Broadcast) -> DataFrame:
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_kept()
         benchmark: Benchmark = shared.value
         for batch in sliced(batches):
             texts = (x.as_py() for x in batch.column("data"))
@@ -375,6 +378,7 @@ def latent_space(rows: DataFrame, space: Space, group: Group, rank: int) -> np.n
 
 def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing_kept()
         group, space = shared.value
         number = len(group.targets)
         target, term, weight = space.of_targets(group.targets)
@@ -382,7 +386,7 @@ def _search(rows: DataFrame, shared: Broadcast, near: float) -> DataFrame:
         # (target, term) in order, and the term's part of the target's weights.
         own = target * len(space.weights) + term
         worth = weight / np.bincount(target, weight, minlength=number)[target]
-        together = max(1, 40_000_000 // number)
+        together = max(1, TOGETHER // number)
         for batch in sliced(batches, 500):
             terms, starts = group.laid(batch)
             block, term, weight, first = space.triplets(terms, starts)

@@ -212,40 +212,62 @@ class Models:
 
 
 class Scorer:
-    """Bits of texts, from the bits of their words; distinct words are scored once."""
+    """Bits of texts, from the bits of their words; distinct words are scored once.
 
-    def __init__(self, models: Models, most: int = 1_000_000):
-        self.models, self.most = models, most
-        self._clear()
+    New words go to a small sorted table, which is merged into the large one when it is full. Once the
+    large one is full as well, the small one starts over, so what a stretch of text costs does not
+    depend on how many words were seen before it.
+    """
 
-    def _clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.table = np.zeros((0, len(self.models.languages) + 1), np.float32)
+    def __init__(self, models: Models, most: int = 500_000, fresh: int = 1 << 15):
+        self.models, self.most, self.fresh = models, most, fresh
+        self.width = len(models.languages) + 1
+        self.large, self.small = self._none(), self._none()
+
+    def _none(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros(0, np.uint64), np.zeros((0, self.width), np.float32)
+
+    @staticmethod
+    def _merged(one: tuple, other: tuple) -> tuple[np.ndarray, np.ndarray]:
+        known = np.concatenate([one[0], other[0]])
+        order = np.argsort(known, kind="stable")
+        return known[order], np.concatenate([one[1], other[1]])[order]
+
+    def _made(self, data: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Bits and characters of words that no table holds."""
+        words = [letter_words(data[a:e]) for a, e in zip(first.tolist(), end.tolist(), strict=True)]
+        sizes = np.array([len(w) for w in words])
+        made = np.zeros((len(words), self.width))
+        if sizes.any():
+            bits = self.models.words_bits([w for ws in words for w in ws])
+            some = np.flatnonzero(sizes)
+            made[some] = np.add.reduceat(bits, (np.cumsum(sizes) - sizes)[some], axis=0)
+        return made.astype(np.float32)
+
+    def _remember(self, words: np.ndarray, made: np.ndarray) -> None:
+        self.small = self._merged(self.small, (words, made))
+        if len(self.small[0]) > self.fresh:
+            if len(self.large[0]) + len(self.small[0]) <= self.most:
+                self.large = self._merged(self.large, self.small)
+            self.small = self._none()
 
     def _rows(self, data: bytes, hashes: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Bits and characters of each of the words."""
-        fresh, at = np.unique(hashes[~np.isin(hashes, self.known)], return_index=True)
-        if len(fresh):
-            if len(self.known) + len(fresh) > self.most and len(self.known):
-                self._clear()
-                return self._rows(data, hashes, first, end)
-            at = np.flatnonzero(~np.isin(hashes, self.known))[at]
-            words = [letter_words(data[a:e]) for a, e in zip(first[at].tolist(), end[at].tolist(), strict=True)]
-            sizes = np.array([len(w) for w in words])
-            made = np.zeros((len(fresh), self.table.shape[1]))
-            if sizes.any():
-                bits = self.models.words_bits([w for ws in words for w in ws])
-                some = np.flatnonzero(sizes)
-                made[some] = np.add.reduceat(bits, (np.cumsum(sizes) - sizes)[some], axis=0)
-            known = np.concatenate([self.known, fresh])
-            order = np.argsort(known)
-            self.known = known[order]
-            self.table = np.concatenate([self.table, made.astype(np.float32)])[order]
-        return self.table[np.searchsorted(self.known, hashes)]
+        words, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        rows = np.empty((len(words), self.width), np.float32)
+        left = np.arange(len(words))
+        for known, table in (self.large, self.small):
+            place, held = Models._find(known, words[left])
+            rows[left[held]] = table[place[held]]
+            left = left[~held]
+        if len(left):
+            rows[left] = self._made(data, first[at[left]], end[at[left]])
+            self._remember(words[left], rows[left])
+        return rows[back]
 
     def texts_bits(self, texts: list[bytes]) -> np.ndarray:
         """Bits by language and the number of characters, of each whole text."""
-        total = np.zeros((len(texts), self.table.shape[1]))
+        total = np.zeros((len(texts), self.width))
         held: list[int] = []
 
         def add(numbers: list[int], data: bytes, starts: list[int]) -> None:
