@@ -1,6 +1,7 @@
 """Every registered query."""
 
 from checks import (  # noqa: F401
+    q_batches,
     q_clean,
     q_enrich,
     q_flow,

@@ -64,11 +64,15 @@ def stored_ids(records: DataFrame) -> DataFrame:
     return ids.where(F.col("chrono_id").isNotNull()).distinct()
 
 
-def method_rates(log: DataFrame) -> DataFrame:
-    """Shares of the methods and of unresolved entries per chronogram."""
+METHOD_COUNTS = ["total", "n_rule", "n_resolver", "n_dict", "n_ok", "n_open"]
+FACT_COUNTS = ["n_rows", "n_filled"]
+
+
+def method_counts(log: DataFrame) -> DataFrame:
+    """Entries by method, and open ones, per chronogram: counts of parts of a log add up."""
     method = F.col("methode")
     open_entry = F.coalesce(F.col("champ_standard"), F.lit("")) == ""
-    counts = log.groupBy(F.col("id_chronogramme").alias("chrono_id")).agg(
+    return log.groupBy("id_chronogramme").agg(
         F.count("*").alias("total"),
         F.count_if(method == METHOD_RULE).alias("n_rule"),
         F.count_if(method == METHOD_RESOLVER).alias("n_resolver"),
@@ -76,9 +80,29 @@ def method_rates(log: DataFrame) -> DataFrame:
         F.count_if(method == METHOD_OK).alias("n_ok"),
         F.count_if(open_entry).alias("n_open"),
     )
+
+
+def fact_counts(facts: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows and filled cells of the counted columns per chronogram: counts of parts add up."""
+    names = columns or COUNTED
+    filled = sum((F.count(c) for c in names[1:]), F.count(names[0]))
+    return facts.groupBy("id_chronogramme").agg(F.count("*").alias("n_rows"), filled.alias("n_filled"))
+
+
+def summed(counts: DataFrame, names: list[str]) -> DataFrame:
+    """Counts of several parts as one row per chronogram."""
+    return counts.groupBy("id_chronogramme").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def method_rates(log: DataFrame) -> DataFrame:
+    """Shares of the methods and of unresolved entries per chronogram."""
+    return rates_of_counts(method_counts(log))
+
+
+def rates_of_counts(counts: DataFrame) -> DataFrame:
     total = F.col("total")
     return counts.select(
-        "chrono_id",
+        F.col("id_chronogramme").alias("chrono_id"),
         "total",
         rate(F.col("n_rule"), total).alias("auto_rate"),
         rate(F.col("n_resolver"), total).alias("ia_rate"),
@@ -90,11 +114,14 @@ def method_rates(log: DataFrame) -> DataFrame:
 
 def completeness(facts: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Filled cells over all cells of the counted columns, per chronogram."""
-    names = columns or COUNTED
-    filled = sum((F.count(c) for c in names[1:]), F.count(names[0]))
-    cells = F.count("*") * F.lit(len(names))
-    return facts.groupBy(F.col("id_chronogramme").alias("chrono_id")).agg(
-        rate(filled, cells).alias("completeness")
+    return completeness_of_counts(fact_counts(facts, columns), len(columns or COUNTED))
+
+
+def completeness_of_counts(counts: DataFrame, n_columns: int = len(COUNTED)) -> DataFrame:
+    cells = F.col("n_rows") * F.lit(n_columns)
+    return counts.select(
+        F.col("id_chronogramme").alias("chrono_id"),
+        rate(F.col("n_filled"), cells).alias("completeness"),
     )
 
 
@@ -118,9 +145,16 @@ def kpi(
     runs: DataFrame, log: DataFrame, facts: DataFrame, limits: Thresholds = Thresholds()
 ) -> DataFrame:
     """One record per run log: two aggregations and two joins by id."""
+    return kpi_of_counts(runs, method_counts(log), fact_counts(facts), limits)
+
+
+def kpi_of_counts(
+    runs: DataFrame, methods: DataFrame, filled: DataFrame, limits: Thresholds = Thresholds()
+) -> DataFrame:
+    """The same from counts that were kept with each batch: no log entry and no fact is read."""
     zero = F.lit(0.0)
-    joined = runs.join(method_rates(log), "chrono_id", "left").join(
-        completeness(facts), "chrono_id", "left"
+    joined = runs.join(rates_of_counts(methods), "chrono_id", "left").join(
+        completeness_of_counts(filled), "chrono_id", "left"
     )
     rates = ["auto_rate", "ia_rate", "unresolved_rate", "completeness"]
     filled = joined.select("log_name", "chrono_id", *[F.coalesce(r, zero).alias(r) for r in rates])

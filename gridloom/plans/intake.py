@@ -17,7 +17,7 @@ from gridloom.operators.resolvers import Resolver
 from gridloom.session import cut_lineage
 from gridloom.sinks.dictionaries import DictionaryStore
 from gridloom.sinks.report import RunRecorder
-from gridloom.sinks.store import IDS_PER_BUCKET, Store
+from gridloom.sinks.store import Store
 
 SHEET, ROW, COLUMN = structure.SHEET, clean.ROW, clean.COLUMN
 _HAS = "__has_"
@@ -160,6 +160,14 @@ def register(submissions: DataFrame, start: int) -> metadata.Checked:
     )
 
 
+def register_in(store: Store, submissions: DataFrame, batch_id: str) -> metadata.Checked:
+    """The same with ids of the store's ledger: a file keeps its id however often its batch is run."""
+    checked = metadata.check_required(metadata.with_defaults(submissions))
+    cleaned = metadata.clean_metadata(checked.valid)
+    known = store.ledger.with_ids(cleaned, batch_id, store.max_id(but=batch_id))
+    return metadata.Checked(known, checked.rejected)
+
+
 def complete(
     submissions: DataFrame, sheets: DataFrame, unreadable: DataFrame | None = None
 ) -> DataFrame:
@@ -193,28 +201,27 @@ def run_intake(
     with its reasons.
 
     Rows and ids are written out once before the checks, so the checks and the appends see the same
-    rows. The batch shows once facts, log and dimension are all written; run again it replaces itself.
-    A run that fails leaves its log as well.
+    rows. The batch shows once facts, log, dimension and learnt entries are all written; run again it
+    replaces itself under the same ids. A run that fails leaves its log as well.
     """
     recorder = RunRecorder(batch_id)
     stored = None
     try:
         with recorder.step("INSERT_METADATA"):
             files = cut_lineage(complete(submissions, sheets, unreadable), "submissions")
-            start = store.max_id(but=batch_id)
-            registered = register(files, start)
+            registered = register_in(store, files, batch_id)
             known = cut_lineage(registered.valid)
         with recorder.step("STANDARDIZE") as metrics:
+            hidden = store.open_batches()
+            for entries in (header_store, value_store):
+                entries.settle([*hidden, batch_id])
             intake = plan_intake(
                 cells, sheets, known, header_store.read(), value_store.read(), options
             )
             rows = cut_lineage(recorder.observe(intake.rows, "rows"))
             metrics["rows"] = recorder.rows("rows")
         with recorder.step("INSERT_INJECTS"):
-            # Ids go on after ``start``: facts in folders before it cannot clash.
-            earlier = store.facts().where(
-                (F.col("batch_id") != batch_id) & (F.col("id_bucket") >= start // IDS_PER_BUCKET)
-            )
+            earlier = store.facts_like(rows, but=batch_id)
             gate = integrity.atomic_gate(rows, known, earlier, unit="file_id")
             refused = cut_lineage(_refused(gate, intake, registered, known, unreadable))
             counts = rows.groupBy("id_chronogramme").agg(F.count("*").alias("nb_new"))
@@ -226,10 +233,12 @@ def run_intake(
             store.begin(batch_id)
             store.append_facts(gate.accepted, batch_id)
             store.append_log(intake.log, batch_id)
-            header_store.add(intake.learned_headers)
-            value_store.add(intake.learned_values)
+            header_store.stage(intake.learned_headers, batch_id)
+            value_store.stage(intake.learned_values, batch_id)
             store.append_dimension(dimension, batch_id)
             store.finish(batch_id)
+            for entries in (header_store, value_store):
+                entries.settle(store.open_batches())
             stored = passed
     finally:
         recorder.write(spark, f"{store.base}/run_logs", stored)

@@ -3,6 +3,10 @@
 Facts lie under ``facts/batch_id=<b>/id_bucket=<k>``. A batch overwrites only its own folder, and its
 rows of the dimension, so a repeated batch replaces itself. Between ``begin`` and ``finish`` a batch is
 hidden from readers in all three tables; one that broke off stays hidden until it is run again.
+
+Beside the facts and the log of a batch lie what later batches and reports need of them: the counts behind
+the indicators, a filter of the keys, and the ranges of ids it took (see ``ledger``, ``key_filter``). They are
+written last and removed before the batch is replaced; a batch without them is read itself instead.
 """
 
 from __future__ import annotations
@@ -14,12 +18,17 @@ from pyspark.sql import types as T
 from gridloom.functions.dates import utc_text
 from gridloom.functions.text import normalize
 from gridloom.model import DIMENSION, FACT, MAPPING_LOG
-from gridloom.operators.integrity import require_columns
+from gridloom.operators.integrity import KEY, require_columns
+from gridloom.operators.kpi import FACT_COUNTS, METHOD_COUNTS, fact_counts, method_counts, summed
 from gridloom.operators.ordered import number_any
+from gridloom.sinks.key_filter import WORDS, may_hold, words_of
+from gridloom.sinks.ledger import FACT_ROW, PARENT, Ledger
 from gridloom.sinks.snapshots import SnapshotTable
-from gridloom.sources.paths import make_dir
+from gridloom.sources.paths import child_names, exists, make_dir, remove
 
 IDS_PER_BUCKET = 1000
+#: Folders that are named one by one in a filter; more are named by batch and by bucket.
+NAMED_FOLDERS = 200
 _BATCH = T.StructField("batch_id", T.StringType())
 
 
@@ -44,6 +53,7 @@ class Store:
         rows = T.StructType([*DIMENSION.fields, _BATCH])
         self.dimension_table = SnapshotTable(spark, f"{self.base}/dimension", rows)
         self.open_table = SnapshotTable(spark, f"{self.base}/open_batches", T.StructType([_BATCH]))
+        self.ledger = Ledger(spark, self.base)
 
     def create(self) -> None:
         """Make both tables and the log available; existing ones stay as they are."""
@@ -52,13 +62,13 @@ class Store:
 
     def begin(self, batch_id: str) -> None:
         """Hide the batch until it is finished."""
-        self._set_open({*self._open(), batch_id})
+        self._set_open({*self.open_batches(), batch_id})
 
     def finish(self, batch_id: str) -> None:
         """Show the batch: facts, log and dimension at once."""
-        self._set_open({*self._open()} - {batch_id})
+        self._set_open({*self.open_batches()} - {batch_id})
 
-    def _open(self) -> list[str]:
+    def open_batches(self) -> list[str]:
         # The batch under way and those that broke off: a handful of names.
         return [r.batch_id for r in self.open_table.read().collect()]
 
@@ -67,7 +77,7 @@ class Store:
         self.open_table.write(self.spark.createDataFrame(rows, self.open_table.schema))
 
     def _finished(self, rows: DataFrame) -> DataFrame:
-        names = self._open()
+        names = self.open_batches()
         batch = F.col("batch_id")
         return rows.where(batch.isNull() | ~batch.isin(names)) if names else rows
 
@@ -89,10 +99,70 @@ class Store:
         schema = f"{_columns(MAPPING_LOG)}, batch_id string"
         return self._finished(self.spark.read.schema(schema).parquet(f"{self.base}/mapping_log"))
 
+    def _batches(self, name: str) -> set[str]:
+        """Batches with a folder in one of the tables: names from the listing, no file is read."""
+        found = child_names(self.spark, f"{self.base}/{name}")
+        return {n.removeprefix("batch_id=") for n in found if n.startswith("batch_id=")}
+
+    def _without(self, name: str, of: str) -> list[str]:
+        """Batches of the table ``of`` whose summary ``name`` is not there or not whole."""
+        path = f"{self.base}/{name}"
+        whole = {b for b in self._batches(name) if exists(self.spark, f"{path}/batch_id={b}/_SUCCESS")}
+        return sorted(self._batches(of) - whole)
+
+    def _summary(self, name: str, schema: str, but: list[str]) -> DataFrame:
+        """Summary rows of all finished batches without those of ``but``."""
+        path = f"{self.base}/{name}"
+        if not self._batches(name):
+            return self.spark.createDataFrame([], f"{schema}, batch_id string")
+        rows = self._finished(self.spark.read.schema(f"{schema}, batch_id string").parquet(path))
+        return rows.where(~F.col("batch_id").isin(but)) if but else rows
+
+    def _counts(self, name: str, of: str, columns: list[str], rows: DataFrame, count) -> DataFrame:
+        schema = "id_chronogramme long, " + ", ".join(f"{c} long" for c in columns)
+        absent = self._without(name, of)
+        counts = self._summary(name, schema, absent).select("id_chronogramme", *columns)
+        if absent:
+            counts = counts.unionByName(count(rows.where(F.col("batch_id").isin(absent))))
+        return summed(counts, columns)
+
+    def fact_counts(self) -> DataFrame:
+        """Rows and filled cells per chronogram, added up over the batches."""
+        return self._counts("fact_counts", "facts", FACT_COUNTS, self.facts(), fact_counts)
+
+    def method_counts(self) -> DataFrame:
+        """Log entries by method per chronogram, added up over the batches."""
+        return self._counts("method_counts", "mapping_log", METHOD_COUNTS, self.mapping_log(), method_counts)
+
+    def facts_like(self, rows: DataFrame, but: str | None = None) -> DataFrame:
+        """The facts of all folders that may hold a key of ``rows``, without the batch ``but``.
+
+        Only folders whose key filter passes a key are read; each stored key is among them.
+        """
+        absent = [b for b in self._without("key_filter", "facts") if b != but]
+        words = _others(self._summary("key_filter", WORDS, absent), but)
+        keys = rows.select(id_bucket(F.col(KEY[0])).alias("id_bucket"), *KEY)
+        # At most as many rows as folders, which Spark lists on the driver as well.
+        found = [(r.batch_id, r.id_bucket) for r in may_hold(keys, words, KEY).collect()]
+        batch, bucket = F.col("batch_id"), F.col("id_bucket")
+        likely = F.lit(False)
+        if len(found) <= NAMED_FOLDERS:
+            for name in sorted({b for b, _ in found}):
+                likely = likely | ((batch == name) & bucket.isin([k for b, k in found if b == name]))
+        else:
+            likely = batch.isin(sorted({b for b, _ in found})) & bucket.isin(sorted({k for _, k in found}))
+        if absent:
+            likely = likely | batch.isin(absent)
+        return self.facts().where(likely)
+
     def max_id(self, but: str | None = None) -> int:
         """The largest stored id, without the rows of the batch ``but``, which is to be replaced."""
         return _largest(_others(self.dimension_table.read(), but), "id_chronogramme")
 
+    def last_id(self, but: str | None = None) -> int:
+        """The largest id that is stored or was given to a batch that broke off."""
+        return max(self.max_id(but), self.ledger.last(PARENT))
+
     def append_dimension(self, rows: DataFrame, batch_id: str | None = None) -> int:
         """New rows join the current ones in the next version; a known id is replaced, and so are the
         earlier rows of the batch."""
@@ -104,37 +174,52 @@ class Store:
         return self.dimension_table.write(kept.unionByName(named))
 
     def append_facts(self, rows: DataFrame, batch_id: str) -> None:
-        """Append checked rows by name; global ids go on after the largest stored one.
+        """Append checked rows by name; global ids go on after the largest one taken.
 
-        Rows are ranged by parent and inject id: a task writes to few folders, a hot parent is
+        The ledger of ranges gives the first id, and a repeated batch its own again, so no other batch is
+        read. Rows are ranged by parent and inject id: a task writes to few folders, a hot parent is
         split, and the files' value ranges serve pushed-down filters.
         """
         require_columns(rows, ["id_chronogramme"])
-        others = self.facts().where(F.col("batch_id") != batch_id)
-        start = _largest(others, "id_inject_global")
         names = [n for n in FACT.names if n != "id_inject_global"]
-        numbered = number_any(with_schema(rows, names), names, "id_inject_global")
+        typed = with_schema(rows, names)
+        for name in ("fact_counts", "key_filter"):
+            remove(self.spark, f"{self.base}/{name}/batch_id={batch_id}")
+        start = self.ledger.take(FACT_ROW, batch_id, typed.count(), self._unlisted_id(batch_id))
+        numbered = number_any(typed, names, "id_inject_global")
+        path = f"{self.base}/facts/batch_id={batch_id}"
         (
             numbered.withColumn("id_inject_global", F.col("id_inject_global") + F.lit(start))
             .withColumn("id_bucket", id_bucket(F.col("id_chronogramme")))
             .repartitionByRange("id_bucket", "id_chronogramme", "id_inject", "id_inject_global")
             .write.mode("overwrite")
             .partitionBy("id_bucket")
-            .parquet(f"{self.base}/facts/batch_id={batch_id}")
+            .parquet(path)
         )
+        own = self.spark.read.schema(f"{_columns(FACT)}, id_bucket bigint").parquet(path)
+        for name, summary in (("fact_counts", fact_counts(own)), ("key_filter", words_of(own, KEY))):
+            summary.write.mode("overwrite").parquet(f"{self.base}/{name}/batch_id={batch_id}")
+
+    def _unlisted_id(self, batch_id: str) -> int:
+        """The largest id of batches that were stored without a range, which alone are read."""
+        unlisted = self._batches("facts") - self.ledger.batches(FACT_ROW) - {batch_id}
+        if not unlisted:
+            return 0
+        return _largest(self.facts().where(F.col("batch_id").isin(sorted(unlisted))), "id_inject_global")
 
     def update_counts(self) -> int:
         """Set ``nb_injects`` to the number of stored facts, as a new version of the dimension."""
-        counts = self.facts().groupBy("id_chronogramme").agg(F.count("*").alias("n"))
-        return self.dimension_table.write(
-            with_counts(self.dimension_table.read(), counts.withColumnRenamed("n", "nb_new"))
-        )
+        counts = self.fact_counts().select("id_chronogramme", F.col("n_rows").alias("nb_new"))
+        return self.dimension_table.write(with_counts(self.dimension_table.read(), counts))
 
     def append_log(self, rows: DataFrame, batch_id: str, at: Column | None = None) -> None:
         """Decisions with their id; texts both as they were and normalized."""
-        log_rows(rows, at).write.mode("overwrite").parquet(
-            f"{self.base}/mapping_log/batch_id={batch_id}"
-        )
+        counts = f"{self.base}/method_counts/batch_id={batch_id}"
+        remove(self.spark, counts)
+        path = f"{self.base}/mapping_log/batch_id={batch_id}"
+        log_rows(rows, at).write.mode("overwrite").parquet(path)
+        own = self.spark.read.schema(_columns(MAPPING_LOG)).parquet(path)
+        method_counts(own).write.mode("overwrite").parquet(counts)
 
 
 def _others(rows: DataFrame, batch_id: str | None) -> DataFrame:

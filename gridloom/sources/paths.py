@@ -32,3 +32,9 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the engine's own, if it is there."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
