@@ -78,6 +78,23 @@ def number_rows_large(spark, sf):
     return E.number_rows(one_file, width=4096).select("row_idx", "numero_inject")
 
 
+_FAR = "l_orderkey * 1000003 + l_linenumber * 7919"
+
+
+@query(
+    "number_rows_sparse",
+    f"""SELECT file_id, row_idx, row_number() OVER (PARTITION BY file_id ORDER BY row_idx) AS numero_inject
+        FROM (SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 THEN 'all' ELSE l_returnflag END AS file_id,
+                     {_FAR} AS row_idx FROM lineitem)""",
+)
+def number_rows_sparse(spark, sf):
+    """Ordinals a million apart, a third of all rows in one file."""
+    file_id = F.when(F.col("l_orderkey") % 3 == 0, "all").otherwise(F.col("l_returnflag"))
+    rows = table(spark, sf, "lineitem").select(file_id.alias("file_id"), F.expr(_FAR).alias("row_idx"))
+    numbered = E.number_rows(rows.distinct(), width=4096, sparse=True)
+    return numbered.select("file_id", "row_idx", "numero_inject")
+
+
 def _sparse_ids(spark, sf):
     """Customers divisible by 3 have no ids at all; the others miss some."""
     key = F.col("row_idx")

@@ -181,6 +181,16 @@ def correspondence(spark, sf):
     return corrections.correspondence(decisions(spark, sf))
 
 
+@query(
+    "correspondence_ids",
+    f"""WITH {DECISIONS_SQL}
+        SELECT DISTINCT id_chronogramme, scope, nom_original AS original, champ_standard AS standard,
+               methode AS source FROM mlog""",
+)
+def correspondence_ids(spark, sf):
+    return corrections.correspondence_by_chronogram(decisions(spark, sf))
+
+
 @query(
     "batch_outcome",
     """SELECT c_name || '.xlsx' AS file_name, max(o_custkey) AS chrono_id,

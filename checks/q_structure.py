@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.views import GRID_SQL, HEADERS_SQL, RANGES_SQL, cells, cells_sql, norm_sql, sheets, strip_sql
+from gridloom.model import NULL_TOKENS
 from gridloom.operators import structure as S
+from gridloom.plans.intake import Options
 from gridloom.session import cut_lineage
 
 _WORDS = ["chronogramme", "exercice", "licensed"]
@@ -188,6 +190,21 @@ def dense_grid(spark, sf):
     return grid(spark, sf)
 
 
+@query(
+    "dense_grid_null_tokens",
+    f"""WITH {cells_sql()}, {RANGES_SQL}, {GRID_SQL}
+        SELECT file_id, sheet_idx, row_idx, col_idx,
+               CASE WHEN length(value) % 5 <> 0 THEN value END AS value FROM grid""",
+)
+def dense_grid_null_tokens(spark, sf):
+    """Every fifth cell text is one of the tokens that count as empty, as the flow reads them."""
+    source = cells(spark, sf)
+    tokens = F.array(*map(F.lit, NULL_TOKENS))
+    token = F.element_at(tokens, (F.length("value") % len(NULL_TOKENS) + 1).cast("int"))
+    odd = source.withColumn("value", F.when(F.length("value") % 5 == 0, token).otherwise(F.col("value")))
+    return S.dense_grid(odd, cut_lineage(ranges(spark, sf)), Options().na_tokens)
+
+
 @query(
     "header_list",
     f"""WITH {cells_sql()}, {RANGES_SQL}, {HEADERS_SQL}

@@ -106,3 +106,9 @@ class TargetSchema:
     fields: list[str] = field(default_factory=lambda: list(FIELDS))
     required: list[str] = field(default_factory=lambda: list(REQUIRED_FIELDS))
     allowed: dict[str, list[str]] = field(default_factory=lambda: dict(ALLOWED))
+
+# Cell texts that count as empty when a table's data rows are read.
+NULL_TOKENS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)

@@ -24,10 +24,14 @@ def add_context(df: DataFrame, submissions: DataFrame, ordinal: str = "row_idx")
 
 
 def number_rows(
-    df: DataFrame, out: str = "numero_inject", ordinal: str = "row_idx", width: int = WIDTH
+    df: DataFrame,
+    out: str = "numero_inject",
+    ordinal: str = "row_idx",
+    width: int = WIDTH,
+    sparse: bool = False,
 ) -> DataFrame:
-    """1..n per file in row order."""
-    return running_count(df, ["file_id"], ordinal, out, width=width)
+    """1..n per file in row order; ``sparse`` for orders with wide gaps."""
+    return running_count(df, ["file_id"], ordinal, out, width=width, sparse=sparse)
 
 
 def fill_missing_ids(

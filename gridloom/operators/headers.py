@@ -12,6 +12,7 @@ from gridloom.functions.text import light_normalize, normalize, strip
 from gridloom.model import METHOD_DICT, METHOD_RESOLVER, METHOD_RULE
 from gridloom.operators.lookup import latest_per_key, lookup_join
 from gridloom.operators.resolvers import HEADER, SUGGESTIONS, Resolver, attach, resolve_keys
+from gridloom.session import cut_lineage
 
 SHEET = ["file_id", "sheet_idx"]
 COLUMN = [*SHEET, "col_idx"]
@@ -101,11 +102,16 @@ def canonical_field(name: Column) -> Column:
     return field
 
 
-def _first_use(rows: DataFrame, scope: list[str], order: list[str]) -> DataFrame:
-    """Mark the first row of each key, per file or over all files."""
+def _first_use(rows: DataFrame, scope: list[str], order: list[str], **bounds: int) -> DataFrame:
+    """Mark the first row of each key, per file or over all files.
+
+    The minimum combines before the shuffle; a text that stands in every file is a heavy key of the join
+    back and is split (see ``lookup_join``).
+    """
     position = F.struct(*order)
     firsts = rows.groupBy(*scope, "key").agg(F.min(position).alias("__first"))
-    joined = rows.join(firsts, [*scope, "key"], "left")
+    firsts = cut_lineage(firsts, "first-use")
+    joined = lookup_join(rows, firsts, [*scope, "key"], COLUMN, **bounds)
     return joined.withColumn("is_first", position == F.col("__first")).drop("__first")
 
 

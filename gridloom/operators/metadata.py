@@ -110,7 +110,10 @@ def unique_names(
     The first submission of a free name takes it; others get the time, from the second of these on
     also a number.
     """
-    named = running_count(structured_name(submissions), ["base_name"], ordinal, "rank", width=width)
+    # Ordinals of submissions are times or numbers from elsewhere: they may lie far apart.
+    named = running_count(
+        structured_name(submissions), ["base_name"], ordinal, "rank", width=width, sparse=True
+    )
     if existing is None:
         taken = named.withColumn("taken", F.lit(0))
     else:
@@ -138,6 +141,6 @@ def assign_ids(
         numbered = number_any(submissions, ["file_id"], "__n")
     else:
         numbered = running_count(
-            submissions.withColumn("__all", F.lit(0)), ["__all"], ordinal, "__n", width=width
+            submissions.withColumn("__all", F.lit(0)), ["__all"], ordinal, "__n", width=width, sparse=True
         ).drop("__all")
     return numbered.withColumn("id_chronogramme", F.lit(start) + F.col("__n")).drop("__n")

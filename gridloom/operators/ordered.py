@@ -6,6 +6,11 @@ over the buckets of the key, and the carry is joined back on (key, bucket); ever
 summary row, so the join is an inner one and both sides of it keep equal plans. No task sees more than
 one bucket of rows or one key's bucket summaries. A null key or ordinal is an error, and ordinals must
 be unique within a key.
+
+Where ordinals lie far apart (times, ids of a larger table) such buckets would hold a row or two each. With
+``sparse`` buckets follow the rows instead: the rows are range-partitioned by key and ordinal, which samples
+splitters, written once with the number of their partition, and that number is the bucket. There are at
+most as many summaries as partitions and keys together, and of one key at most as many as partitions.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from gridloom.session import cut_lineage
+
 WIDTH = 65_536
 _BUCKET = "__bucket"
 
@@ -28,6 +35,19 @@ def _bucketed(df: DataFrame, keys: list[str], ordinal: str, width: int) -> DataF
     return df.withColumn(_BUCKET, bucket).where(F.col(_BUCKET).isNotNull())
 
 
+def _ranged(df: DataFrame, keys: list[str], ordinal: str, width: int) -> DataFrame:
+    absent = reduce(Column.__or__, [F.col(c).isNull() for c in (*keys, ordinal)])
+    error = F.raise_error(F.lit(f"null in {', '.join((*keys, ordinal))}")).cast("boolean")
+    checked = df.where(F.when(absent, error).otherwise(True))
+    parts = max(1, -(-df.count() // width))
+    placed = checked.repartitionByRange(parts, *keys, ordinal)
+    return cut_lineage(placed.withColumn(_BUCKET, F.spark_partition_id().cast("long")), "ranged")
+
+
+def _buckets(df: DataFrame, keys: list[str], ordinal: str, width: int, sparse: bool) -> DataFrame:
+    return (_ranged if sparse else _bucketed)(df, keys, ordinal, width)
+
+
 def _inside(keys: list[str], ordinal: str):
     return W.partitionBy(*keys, _BUCKET).orderBy(ordinal)
 
@@ -37,10 +57,10 @@ def _before(keys: list[str]):
 
 
 def carry_forward(
-    df: DataFrame, keys: list[str], ordinal: str, columns: list[str], width: int = WIDTH
+    df: DataFrame, keys: list[str], ordinal: str, columns: list[str], width: int = WIDTH, sparse: bool = False
 ) -> DataFrame:
     """Replace each null in ``columns`` by the last value at an earlier ordinal of the key."""
-    rows = _bucketed(df, keys, ordinal, width)
+    rows = _buckets(df, keys, ordinal, width, sparse)
     if set(df.columns) == {*keys, ordinal, *columns}:
         # Window and summary need the same columns, so they can share one exchange.
         rows = rows.repartition(*keys, _BUCKET)
@@ -71,6 +91,7 @@ def running_count(
     width: int = WIDTH,
     total: str | None = None,
     flagged_total: str | None = None,
+    sparse: bool = False,
 ) -> DataFrame:
     """Number of rows (or of rows where ``flag`` holds) up to and including each row.
 
@@ -78,7 +99,7 @@ def running_count(
     they come from the bucket summary, without another pass.
     """
     counted = F.lit(1) if flag is None else F.when(flag, 1).otherwise(0)
-    rows = _bucketed(df.withColumn("__one", counted.cast("long")), keys, ordinal, width)
+    rows = _buckets(df.withColumn("__one", counted.cast("long")), keys, ordinal, width, sparse)
     summary = rows.groupBy(*keys, _BUCKET).agg(
         F.sum("__one").alias("__n"), F.count("*").alias("__rows")
     )
@@ -101,10 +122,10 @@ def running_count(
 
 
 def previous_ordinal(
-    df: DataFrame, keys: list[str], ordinal: str, out: str, width: int = WIDTH
+    df: DataFrame, keys: list[str], ordinal: str, out: str, width: int = WIDTH, sparse: bool = False
 ) -> DataFrame:
     """The ordinal of the preceding row of the key, null on its first row."""
-    rows = _bucketed(df, keys, ordinal, width)
+    rows = _buckets(df, keys, ordinal, width, sparse)
     if set(df.columns) == {*keys, ordinal}:
         rows = rows.repartition(*keys, _BUCKET)
     summary = rows.groupBy(*keys, _BUCKET).agg(F.max(ordinal).alias("__max"))

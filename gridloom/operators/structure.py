@@ -6,6 +6,8 @@ Row and column numbers start at 1.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +35,9 @@ KNOWN_HEADERS = [
 SHEET = ["file_id", "sheet_idx"]
 
 
-def _filled(cells: DataFrame, na_tokens: list[str] | None = None) -> DataFrame:
+def _filled(cells: DataFrame, na_tokens: Sequence[str] | None = None) -> DataFrame:
     filled = cells.where(F.col("value") != "")
-    return filled.where(~F.col("value").isin(na_tokens)) if na_tokens else filled
+    return filled.where(~F.col("value").isin(list(na_tokens))) if na_tokens else filled
 
 
 def _any_word(col, words: list[str]):
@@ -49,7 +51,7 @@ def sheet_stats(
     cells: DataFrame,
     sheets: DataFrame,
     keywords: list[str] | None = None,
-    na_tokens: list[str] | None = None,
+    na_tokens: Sequence[str] | None = None,
 ) -> DataFrame:
     """Filled cells, density and keyword flag per sheet; an empty sheet counts 0."""
     words = SHEET_KEYWORDS if keywords is None else keywords
@@ -269,7 +271,7 @@ def header_list(headers: DataFrame) -> DataFrame:
 def dense_grid(
     cells: DataFrame,
     ranges: DataFrame,
-    na_tokens: list[str] | None = None,
+    na_tokens: Sequence[str] | None = None,
     step: int = 4096,
 ) -> DataFrame:
     """Every (row, column) of the range below the header, with its value or null.

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.model import NULL_TOKENS
 from gridloom.operators import growth, headers, structure
 from gridloom.operators.lookup import lookup_join
 from gridloom.session import cut_lineage
@@ -30,7 +32,9 @@ def within_budget(df: DataFrame, sheets: DataFrame, max_files: int | None) -> Da
     return df.join(chosen.withColumnRenamed("path", "file_id"), "file_id", "left_semi")
 
 
-def _fullest(cells: DataFrame, sheets: DataFrame, na_tokens: list[str] | None = None) -> DataFrame:
+def _fullest(
+    cells: DataFrame, sheets: DataFrame, na_tokens: Sequence[str] | None = NULL_TOKENS
+) -> DataFrame:
     stats = structure.sheet_stats(cells, sheets, na_tokens=na_tokens)
     return cut_lineage(structure.main_sheet(stats, use_keywords=False), "main")
 
@@ -54,7 +58,7 @@ def value_growth(
     value_dictionary: DataFrame,
     max_files: int | None = None,
     keywords: list[str] | None = None,
-    na_tokens: list[str] | None = None,
+    na_tokens: Sequence[str] | None = NULL_TOKENS,
 ) -> DataFrame:
     """Values of canonical columns that the dictionary does not hold.
 
@@ -78,5 +82,5 @@ def value_growth(
     shown = lookup_join(kept, cut_lineage(columns, "columns"), COLUMN, ["row_idx"], "inner")
     below = shown.where(F.col("row_idx") > F.col("header_row"))
     if na_tokens:
-        below = below.where(~F.col("value").isin(na_tokens))
+        below = below.where(~F.col("value").isin(list(na_tokens)))
     return growth.new_values(below.select("header", "value"), value_dictionary)

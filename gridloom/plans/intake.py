@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.model import TargetSchema
+from gridloom.model import NULL_TOKENS, TargetSchema
 from gridloom.operators import clean, enrich, growth, headers, integrity, metadata, structure, values
 from gridloom.operators.kpi import file_outcome
 from gridloom.operators.lookup import lookup_join
@@ -36,7 +37,10 @@ class Options:
     skip_first: bool = True
     trim_bottom: bool = False
     min_header_cells: int = 3
-    na_tokens: list[str] | None = None
+    #: Texts that count as empty below the header; None takes every text as it is.
+    na_tokens: tuple[str, ...] | None = NULL_TOKENS
+    #: Of equally good sheets, ``(file_id, sheet_name)`` to take: called once with all of them.
+    tie_choice: Callable[[DataFrame], DataFrame] | None = None
     id_col: str = "id_inject"
     strict: bool = True
     width: int = WIDTH
@@ -90,7 +94,12 @@ def plan_intake(
     row-partitioning of the summary-row test.
     """
     schema = options.schema
-    main = cut_lineage(structure.main_sheet(structure.sheet_stats(cells, sheets)), "main")
+    stats = structure.sheet_stats(cells, sheets)
+    main = cut_lineage(structure.main_sheet(stats), "main")
+    if options.tie_choice is not None:
+        tied = cut_lineage(structure.tied_sheets(stats, main), "tied")
+        choice = cut_lineage(options.tie_choice(tied), "choice")
+        main = cut_lineage(structure.apply_tie_choice(main, tied, choice), "main")
     main_cells = structure.keep_main(cells, main)
     ranges = cut_lineage(find_ranges(main_cells, main, options), "ranges")
     grid = structure.dense_grid(main_cells, ranges, options.na_tokens)
