@@ -21,6 +21,7 @@ from gridloom.llm.runs import collapse_runs, with_planted_runs
 from gridloom.llm.sharding import shard_documents
 from gridloom.llm.token_counts import DELETE, INSERT, REVISE, TokenLedger
 from gridloom.llm.warc import archive_pages, read_records
+from gridloom.operators.lookup import lookup_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +59,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
     change = F.when(F.col("toxic") == 1, DELETE).when(F.col("quality") == 0, REVISE)
     marked = labels.select("id", change.alias("change")).where("change IS NOT NULL")
-    later = docs.withColumn("text", F.regexp_replace("text", "\\s+$", "")).join(marked, "id")
+    later = lookup_join(docs, marked, ["id"], ["source", "lang"], "inner")
+    later = later.withColumn("text", F.regexp_replace("text", "\\s+$", ""))
     ledger = TokenLedger(spark, scratch_path(spark, "token-ledger"))
     ledger.apply("load", docs.withColumn("change", F.lit(INSERT)))
     for _ in range(2):
