@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -69,15 +70,19 @@ def numbered_in_order(
 
 
 class WordCache(dict):
-    """What ``make`` returns for a word, kept for at most ``most`` words at a time."""
+    """What ``make`` returns for a word, kept for twice ``most`` words at a time: when as many new ones
+    have come, those that were not asked for since the last time go."""
 
-    def __init__(self, make: Callable[[bytes], object], most: int = 1_200_000):
+    def __init__(self, make: Callable[[bytes], object], most: int = 350_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, word):
-        made = self.make(word)
+        made = self.older.get(word)
+        if made is None:
+            made = self.make(word)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
         self[word] = made
         return made
@@ -91,6 +96,10 @@ def kept(key, make: Callable[[], object]):
     if key not in _KEPT:
         _KEPT.clear()
         pa.default_memory_pool().release_unused()
+        # What was freed goes back to the machine, where the C library can do that.
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
         _KEPT[key] = make()
     return _KEPT[key]
 

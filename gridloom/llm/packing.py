@@ -29,6 +29,8 @@ from gridloom.llm.packing_plan import packing_plan
 from gridloom.llm.words import stretches
 
 CAPACITY = 2048
+#: Words whose ids a task keeps, and as many older ones: about 200 bytes each.
+WORDS_KEPT = 600_000
 END = (0).to_bytes(4, "little")
 
 
@@ -38,7 +40,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def id_words(tokenizer_file: str) -> WordCache:
+def id_words(tokenizer_file: str, most: int = WORDS_KEPT) -> WordCache:
     """Ids of a word, as little-endian 32-bit numbers.
 
     The tokenizer ignores case and never joins a letter with punctuation, so a word in capitals or
@@ -68,7 +70,7 @@ def id_words(tokenizer_file: str) -> WordCache:
         found = tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         return b"".join([i.to_bytes(4, "little") for i in found])
 
-    words = WordCache(ids)
+    words = WordCache(ids, most)
     return words
 
 
@@ -89,7 +91,12 @@ def pieces_of(data: bytes, ids, capacity: int) -> Iterator[bytes]:
 
 
 def token_pieces(
-    df: DataFrame, tokenizer_file: str, capacity: int, id_col: str, text_col: str
+    df: DataFrame,
+    tokenizer_file: str,
+    capacity: int,
+    id_col: str,
+    text_col: str,
+    words_kept: int = WORDS_KEPT,
 ) -> DataFrame:
     """id, piece, start, length and ids_crc32 of every piece."""
     rows = df.select(F.col(f"`{id_col}`").alias("id"), utf8(F.col(f"`{text_col}`")).alias("data"))
@@ -97,7 +104,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # From task to task the worker keeps what it has tokenised.
-        ids = kept(("ids", tokenizer_file), lambda: id_words(tokenizer_file))
+        ids = kept(("ids", tokenizer_file, words_kept), lambda: id_words(tokenizer_file, words_kept))
         for batch in sliced(batches):
             index, piece, start, length, crc = [], [], [], [], []
             for i, data in enumerate(batch.column("data")):
@@ -144,10 +151,12 @@ def pack_documents(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    words_kept: int = WORDS_KEPT,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = df.sparkSession
-    pieces = token_pieces(df, tokenizer_file or default_tokenizer(), capacity, id_col, text_col)
+    file = tokenizer_file or default_tokenizer()
+    pieces = token_pieces(df, file, capacity, id_col, text_col, words_kept)
     pieces = cut_lineage(pieces, "pieces")
     # At most ``capacity`` rows.
     counted = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
