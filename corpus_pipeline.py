@@ -21,6 +21,11 @@ from gridloom.llm.language_id import identify
 from gridloom.llm.packing import pack_documents
 from gridloom.operators.lookup import lookup_join
 
+#: Rows that go to a Python task at once, and words whose ids a task keeps in the last stage. The stages
+#: share executors, whose Python workers stay: with less in hand each of them stays small.
+ROWS_AT_ONCE = 1000
+WORDS_KEPT = 100_000
+
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows whose id is not among ``dropped``, which may be as many as the rows."""
@@ -28,7 +33,12 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return lookup_join(docs, dropped, ["doc_id"], ["doc_id"], "left_anti").select(docs.columns)
 
 
+def _slim(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _slim(spark)
     return _without(docs, identify(docs).where("NOT accepted"))
 
 
@@ -37,15 +47,18 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _slim(spark)
     return _without(docs, near_duplicates(docs, gram=5, percent=80).where("doc_id != component_id"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _slim(spark)
     return without_contaminated(docs, table(spark, sf_dir, "benchmark")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs)
+    _slim(spark)
+    return pack_documents(docs, words_kept=WORDS_KEPT)
 
 
 STAGES = [
@@ -56,7 +69,7 @@ STAGES = [
     ("pack", pack),
 ]
 
-#: Language models, retrieval and packing are beyond SQL; the tests hold run() against brute force.
+#: Language models, retrieval and packing are beyond SQL; the operators are tested one by one.
 ORACLE_SQL = None
 
 
