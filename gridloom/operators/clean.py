@@ -119,6 +119,23 @@ def carry_phase(
     return marked.where("NOT __p").drop("__p")
 
 
+def lone_phases(grid: DataFrame) -> DataFrame:
+    """``(file_id, sheet_idx, row_idx, phase)`` of the rows whose only non-blank cell names a phase."""
+    shown = _value_or_null(F.col("value"))
+    per_row = grid.groupBy(*ROW).agg(F.count(shown).alias("n"), F.max(shown).alias("only"))
+    named = per_row.where((F.col("n") == 1) & _starts_parasitic(F.col("only"), ["phase"]))
+    return named.select(*ROW, strip(F.col("only")).alias("phase"))
+
+
+def under_phases(wide: DataFrame, phases: DataFrame, field: str, width: int = WIDTH) -> DataFrame:
+    """Rows whose ``field`` is null take the phase named last above them in their sheet."""
+    heads = phases.withColumn("__head", F.lit(True)).withColumnRenamed("phase", "__phase")
+    both = wide.withColumn("__phase", F.lit(None).cast("string")).unionByName(heads, allowMissingColumns=True)
+    carried = carry_forward(both, SHEET, "row_idx", ["__phase"], width)
+    rows = carried.where(F.col("__head").isNull())
+    return rows.withColumn(field, F.coalesce(field, "__phase")).select(*wide.columns)
+
+
 # Tables that already share their columns.
 
 

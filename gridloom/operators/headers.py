@@ -213,29 +213,40 @@ def dropped_columns(standardized: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def to_wide(
-    long: DataFrame, keys: list[str], fields: list[str], presence: tuple[str, list[str]] = ("", [])
+    long: DataFrame,
+    keys: list[str],
+    fields: list[str],
+    presence: tuple[str, list[str]] = ("", []),
+    folded: tuple[str, Column] | None = None,
 ) -> DataFrame:
     """Long ``(keys, field, value)`` to one column per field, in schema order.
 
     The list is fixed, so the plan and its schema do not depend on the data. ``presence`` is a prefix
-    and fields for which a flag says whether the row has a cell of that field at all.
+    and fields for which a flag says whether the row has a cell of that field at all. ``folded`` names
+    one more aggregate of the row's cells, see ``folded_text``.
     """
+    more = [] if folded is None else [folded[1].alias(folded[0])]
     prefix, flagged = presence
     is_field = {f: F.col("field") == f for f in {*fields, *flagged}}
     return long.groupBy(*keys).agg(
         *[F.max(F.when(is_field[f], F.col("value"))).alias(f) for f in fields],
         *[F.coalesce(F.max(is_field[f]), F.lit(False)).alias(prefix + f) for f in flagged],
+        *more,
     )
 
 
+def folded_text(outside: Column, label: Column, separator: str = " | ") -> Column:
+    """Aggregate over the cells of one row: the values where ``outside`` holds, each after its label, as
+    one text in column order; empty without any. A row's cells are as many as its columns."""
+    shown = F.struct("col_idx", F.concat_ws(": ", label, "value").alias("text"))
+    cells = F.collect_list(F.when(outside & F.col("value").isNotNull(), shown))
+    return F.array_join(F.array_sort(cells)["text"], separator)
+
+
 def fold_unmapped(
     long: DataFrame, keys: list[str], fields: list[str], separator: str = " | "
 ) -> DataFrame:
     """Values of columns outside the schema as one text per row, in column order."""
-    shown = F.struct("col_idx", F.concat_ws(": ", "raw_header", "value").alias("text"))
     outside = long.where(~F.coalesce(F.col("standard").isin(fields), F.lit(False)))
-    return (
-        outside.where(F.col("value").isNotNull())
-        .groupBy(*keys)
-        .agg(F.array_join(F.array_sort(F.collect_list(shown))["text"], separator).alias("folded"))
-    )
+    text = folded_text(F.lit(True), F.col("raw_header"), separator)
+    return outside.where(F.col("value").isNotNull()).groupBy(*keys).agg(text.alias("folded"))

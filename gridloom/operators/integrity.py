@@ -62,6 +62,14 @@ def required_values(facts: DataFrame, required: list[str]) -> DataFrame:
     )
 
 
+def split_required(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows with all required fields, and the others with the reason."""
+    lacking = required_values(rows, required)
+    reason = F.concat(F.lit("missing: "), F.col("missing"))
+    whole = rows.where(F.size(missing_fields(required)) == 0)
+    return whole, lacking.withColumn("reason", reason).drop("missing")
+
+
 def atomic_gate(
     batch: DataFrame,
     dimension: DataFrame,

@@ -22,6 +22,7 @@ from gridloom.sinks.store import Store
 
 SHEET, ROW, COLUMN = structure.SHEET, clean.ROW, clean.COLUMN
 _HAS = "__has_"
+_FOLDED = "__folded"
 
 
 @dataclass(frozen=True)
@@ -41,10 +42,21 @@ class Options:
     na_tokens: tuple[str, ...] | None = NULL_TOKENS
     #: Of equally good sheets, ``(file_id, sheet_name)`` to take: called once with all of them.
     tie_choice: Callable[[DataFrame], DataFrame] | None = None
+    #: The field that takes the columns outside the schema as ``header: value | header: value``.
+    fold_into: str | None = None
+    #: The field that takes the phase named by a row of its own above; None drops such rows.
+    phase_into: str | None = None
+    #: Refuse rows that lack a required field of the schema; the id field is numbered, never refused.
+    refuse_incomplete: bool = False
     id_col: str = "id_inject"
     strict: bool = True
     width: int = WIDTH
 
+    def __post_init__(self):
+        for name in (self.fold_into, self.phase_into):
+            if name is not None and name not in self.schema.fields:
+                raise ValueError(f"{name} is no field of the schema")
+
 
 class Intake(NamedTuple):
     rows: DataFrame  # enriched rows, one column per field
@@ -103,6 +115,11 @@ def plan_intake(
     main_cells = structure.keep_main(cells, main)
     ranges = cut_lineage(find_ranges(main_cells, main, options), "ranges")
     grid = structure.dense_grid(main_cells, ranges, options.na_tokens)
+    if options.phase_into is not None:
+        # Taken out before anything is filled: a filled phase row would look like data.
+        grid = cut_lineage(grid, "dense")
+        phases = cut_lineage(clean.lone_phases(grid), "phases")
+        grid = lookup_join(grid, phases, ROW, ["col_idx"], "left_anti")
     filled = cut_lineage(fill_grid(grid, options), "grid")
 
     kept = cut_lineage(clean.filled_columns(filled, options.skip_first), "columns")
@@ -117,6 +134,12 @@ def plan_intake(
     )
     picked = headers.pick_columns(named.headers, schema.fields)
     columns = kept.join(picked, [*COLUMN], "left")
+    folded = None
+    if options.fold_into is not None:
+        inside = F.coalesce(F.col("standard").isin(schema.fields), F.lit(False))
+        label = F.nullif("raw_header", F.lit("")).alias("__label")
+        columns = columns.join(named.headers.select(*COLUMN, label, (~inside).alias("__outside")), COLUMN, "left")
+        folded = (_FOLDED, headers.folded_text(F.coalesce("__outside", F.lit(False)), F.col("__label")))
 
     shown = lookup_join(filled, columns, COLUMN, ["row_idx"], "inner", bound=kept)
     long = clean.drop_parasitic_rows(shown)
@@ -141,9 +164,18 @@ def plan_intake(
         spark = cells.sparkSession
         learned_values = spark.createDataFrame([], "field string, raw string, standard string")
 
-    wide = headers.to_wide(long, ROW, schema.fields, (_HAS, list(schema.allowed)))
+    wide = headers.to_wide(long, ROW, schema.fields, (_HAS, list(schema.allowed)), folded)
+    if folded is not None:
+        texts = F.concat_ws(" | ", options.fold_into, F.nullif(_FOLDED, F.lit("")))
+        wide = wide.withColumn(options.fold_into, F.nullif(texts, F.lit(""))).drop(_FOLDED)
     wide = cut_lineage(wide, "rows")
+    if options.phase_into is not None:
+        wide = cut_lineage(clean.under_phases(wide, phases, options.phase_into, options.width), "phased")
     kept_rows, rejected_rows = values.filter_allowed(wide, schema.allowed, _HAS)
+    if options.refuse_incomplete:
+        required = [f for f in schema.required if f != options.id_col]
+        kept_rows, incomplete = integrity.split_required(kept_rows, required)
+        rejected_rows = rejected_rows.unionByName(incomplete)
     flags = [_HAS + f for f in schema.allowed]
     return Intake(
         rows=enrich.enrich(

@@ -35,9 +35,18 @@ def _read_csv(spark, path: str, columns: list[str], header: bool) -> DataFrame:
         return reader.csv(path).select(*columns, order.cast(_ORDER).alias("line_no"))
 
     table = read("UTF-8")
-    broken = F.contains(F.concat_ws("", *columns), F.lit("�"))
-    # Bytes that are no UTF-8 come back as replacement characters: such files are read as Latin-1.
-    others = table.where(broken).select("line_no.path").distinct()
+
+    def marks(rows: DataFrame, mark: str) -> DataFrame:
+        n = F.regexp_count(F.concat_ws("", *columns), F.lit(mark))
+        return rows.groupBy("line_no.path").agg(F.sum(n).alias("n"))
+
+    # Bytes that are no UTF-8 come back as replacement characters: such files are read as Latin-1. One that
+    # stands in the file itself shows there as the Latin-1 reading of its three bytes, and is no such byte.
+    suspects = marks(table, "�").where("n > 0")
+    if suspects.isEmpty():
+        return table
+    own = marks(read("ISO-8859-1"), "ï¿½").withColumnRenamed("n", "own")
+    others = suspects.join(own, "path").where("n > own").select("path")
     if others.isEmpty():
         return table
 

@@ -3,7 +3,7 @@ import pytest
 from conftest import cells_of
 from gridloom.model import TargetSchema
 from gridloom.operators.resolvers import table_resolver
-from gridloom.plans.intake import Options, run_intake
+from gridloom.plans.intake import Options, plan_intake, run_intake
 from gridloom.plans.monitoring import monitor
 from gridloom.sinks.dictionaries import HEADER_KEYS, VALUE_KEYS, DictionaryStore
 from gridloom.sinks.store import Store
@@ -203,3 +203,60 @@ def test_submissions_are_named_and_registered(spark, tmp_path):
     row = store.dimension().first()
     assert (row.id_chronogramme, row.nom_chronogramme, row.nb_injects) == (1, "Feu 1/2", 7)
     assert row.fichier_source.endswith("feu_1_2_2023-12-24.xlsx")
+
+
+def plan_rows(spark, table, **options):
+    cells, shapes = cells_of(spark, {("a", 1, "S"): table})
+    known = spark.createDataFrame(
+        [(*pair, n) for n, pair in enumerate(HEADERS)], "raw string, standard string, line_no long"
+    )
+    none = spark.createDataFrame([], "field string, raw string, standard string, line_no long")
+    parents = "id_chronogramme long, file_id string, nom_chronogramme string, date_exercice string"
+    parents = spark.createDataFrame(
+        [(1, "a", "A", None, None, None)], f"{parents}, etablissement_nom string, etablissement_type string"
+    )
+    return plan_intake(cells, shapes, parents, known, none, Options(schema=SCHEMA, **options))
+
+
+def test_phases_are_carried_to_the_rows_below(spark):
+    bare = [
+        [*HEAD, "Salle"],
+        ["T0", "x", "Critique", "s"],
+        [" Phase 1 ", "", "", ""],
+        ["T1", "y", "Critique", "s"],
+        ["T2", "z", "Critique", "s"],
+        ["", "phase 2", "", ""],
+        ["T3", "w", "Critique", "s"],
+        ["Total", "", "", ""],
+    ]
+    kept = plan_rows(spark, bare, phase_into="phase_exercice", clean_order="clean_first").rows
+    assert {r.horodatage: r.phase_exercice for r in kept.collect()} == {
+        "T0": None, "T1": "Phase 1", "T2": "Phase 1", "T3": "phase 2",
+    }
+    dropped = plan_rows(spark, bare, clean_order="clean_first").rows.collect()
+    assert {r.phase_exercice for r in dropped} == {None} and len(dropped) == 4
+
+
+def test_columns_outside_the_schema_are_folded(spark):
+    table = [
+        [*HEAD, "Salle", "Étage"],
+        ["T0", "x", "Critique", "s1", "2"],
+        ["T1", "y", "Critique", "s2", "3"],
+    ]
+    rows = plan_rows(spark, table, fold_into="observations").rows.collect()
+    assert {r.horodatage: r.observations for r in rows} == {
+        "T0": "Salle: s1 | Étage: 2", "T1": "Salle: s2 | Étage: 3",
+    }
+    assert {r.observations for r in plan_rows(spark, table).rows.collect()} == {None}
+    with pytest.raises(ValueError):
+        Options(schema=SCHEMA, fold_into="nowhere")
+
+
+def test_rows_that_lack_a_required_field_are_refused(spark):
+    table = [["Horodatage", "Descriptif", "Salle"], ["T0", "x", "s"], ["T1", "y", "s"]]
+    # Without a column of the closed field its list is not tested, but the field is still required.
+    done = plan_rows(spark, table, refuse_incomplete=True)
+    assert [(r.row_idx, r.reason) for r in done.rejected_rows.orderBy("row_idx").collect()] == [
+        (2, "missing: type_inject"), (3, "missing: type_inject"),
+    ]
+    assert done.rows.count() == 0 and plan_rows(spark, table).rows.count() == 2

@@ -251,6 +251,15 @@ def test_two_streams_keep_their_facts(spark, tmp_path):
     assert pairs(facts.facts(), "id_chronogramme", "id_inject") == [(1, "a"), (2, "a")]
 
 
+def test_a_replacement_character_of_the_file_itself_is_no_broken_byte(spark, tmp_path):
+    folder = tmp_path / "marks"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes("raw,standard\nÉmetteur \ufffd,emetteur\n".encode())
+    (folder / "b.csv").write_bytes("raw,standard\nModalité,modalite\n".encode("latin-1"))
+    found = {r.raw for r in header_dictionary(spark, str(folder)).collect()}
+    assert found == {"Émetteur \ufffd", "Modalité"}
+
+
 def test_encoding_is_told_per_file(spark, tmp_path):
     folder = tmp_path / "dict"
     folder.mkdir()
