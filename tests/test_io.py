@@ -256,7 +256,7 @@ def test_a_replacement_character_of_the_file_itself_is_no_broken_byte(spark, tmp
     folder.mkdir()
     (folder / "a.csv").write_bytes("raw,standard\nÉmetteur \ufffd,emetteur\n".encode())
     (folder / "b.csv").write_bytes("raw,standard\nModalité,modalite\n".encode("latin-1"))
-    found = {r.raw for r in header_dictionary(spark, str(folder)).collect()}
+    found = {r.raw for r in D.header_dictionary(spark, str(folder)).collect()}
     assert found == {"Émetteur \ufffd", "Modalité"}
 
 
