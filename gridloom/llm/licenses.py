@@ -208,6 +208,17 @@ def _weights() -> dict[str, float]:
     return {w: math.log1p(len(used) / sum(w in u for u in used)) for w in set().union(*used)}
 
 
+def _nameless() -> list[str]:
+    """The notices that speak of a licence, with a word unknown to the model in place of those that only
+    one family uses: what notices of a licence never heard of look like."""
+    weights = _weights()
+    most = max(weights.values())
+    texts = [_plain(t) for t in [*sum(NOTICES.values(), []), *UNLISTED]]
+    told = [[w if weights[w] < most else "xx" for w in words] for words in texts]
+    good = [ws for ws in told if "xx" in ws and any(w.startswith("licen") for w in ws)]
+    return sorted({" ".join(ws) for ws in good if sum(w != "xx" for w in ws) > 2})
+
+
 def _agreement(words: Column, templates: Column) -> Column:
     """The largest part of a template that ``words`` hold, by weight."""
 
@@ -250,6 +261,7 @@ def _sample(df: DataFrame, text_col: str) -> DataFrame:
 def _training(spark: SparkSession, df: DataFrame, text_col: str) -> DataFrame:
     """label, text, held_out: notices alone and inside sentences of the corpus, and other text."""
     known = [(float(n), t) for n, ts in enumerate([[], *NOTICES.values(), UNLISTED]) for t in ts]
+    known += [(float(len(NOTICES) + 1), t) for t in _nameless()]
     known += [(0.0, t) for t in OTHERWISE]
     count = len(known)
     known = spark.createDataFrame(known, "label double, text string")
