@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gridloom.llm.common import cut_lineage
+from gridloom.llm.common import cut_lineage, shuffle_partitions
 
 # Usual wording of notices of public licences, by family.
 NOTICES = {
@@ -126,7 +126,7 @@ OTHERWISE = [
 NONE, UNKNOWN = "none", "unknown"
 FEATURES = 1 << 14
 #: Documents of the corpus whose sentences training sees, and sentences of these, at most.
-SAMPLE_DOCS, SAMPLE = 1000, 8000
+SAMPLE_DOCS, SAMPLE = 1000, 4000
 #: Part of a template's words, weighted by how few families use them, that a confirmed notice has.
 AGREES = 0.8
 #: Part from which a sentence of the sample is left out, as it may be a notice.
@@ -249,13 +249,16 @@ def _sample(df: DataFrame, text_col: str) -> DataFrame:
     some = texts.where(F.pmod(F.xxhash64("text"), F.lit(steps)) < part).dropDuplicates(["text"])
     some = some.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS)
     lines = sentences(some, "id", "text", lambda text: F.length(text) > 0).select("text").distinct()
+    lines = cut_lineage(lines.orderBy(F.xxhash64("text"), "text").limit(SAMPLE), "lines")
+    # One file of few rows, but each is dear: over all tasks.
+    lines = lines.repartition(shuffle_partitions(df.sparkSession), "text")
     every = _templates(df.sparkSession).select(F.explode("templates").alias("template"))
     every = every.groupBy(F.lit(0).alias("id")).agg(F.collect_list("template").alias("templates"))
     # One row, the same for all.
     near = lines.withColumn("id", F.lit(0)).join(F.broadcast(every), "id")
     words = words_of(F.col("text"))
     far = near.where(_once(words, lambda w: _agreement(w, F.col("templates"))) < RESEMBLES)
-    return cut_lineage(far.select("text").orderBy(F.xxhash64("text"), "text").limit(SAMPLE), "sample")
+    return cut_lineage(far.select("text"), "sample")
 
 
 def _training(spark: SparkSession, df: DataFrame, text_col: str) -> DataFrame:
@@ -284,7 +287,8 @@ class LicenseModel:
 
     def __init__(self, spark: SparkSession, df: DataFrame, text_col: str = "text"):
         self.tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
-        rows = cut_lineage(_training(spark, df, text_col), "training")
+        rows = _training(spark, df, text_col).repartition(shuffle_partitions(spark), "text")
+        rows = cut_lineage(rows, "training")
         fit = LogisticRegression(regParam=0.001, maxIter=40, family="multinomial")
         self.model = fit.fit(self._features(rows.where("NOT held_out")))
         self.model.setProbabilityCol("all").setPredictionCol("top").setRawPredictionCol("raw")
