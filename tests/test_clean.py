@@ -1,5 +1,11 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import grid_of, table_of
 from gridloom.operators import clean as C
+from gridloom.operators import structure as S
 
 
 def test_clean_table_drops_summary_blank_and_empty(spark):
@@ -66,3 +72,51 @@ def test_carry_phase_keeps_the_text_on_the_rows_below(spark):
     ]
     dropped = C.carry_phase(frame, ["f"], "o", "t", keep=False).collect()
     assert all(r.phase_exercice is None for r in dropped) and len(dropped) == 4
+
+
+def odd_cells(spark, seed):
+    """Sheets with gaps, blanks, phase and summary rows; one place is written twice, some lie outside."""
+    rng = random.Random(seed)
+    texts = ["a", "b", " ", "Phase 1", " total x", "c"]
+    rows, ranges = [], []
+    for sheet, (height, first, last) in enumerate([(23, 2, 4), (3, 1, 1), (9, 1, 3), (1, 1, 2)]):
+        places = [(r, c) for r in range(1, height + 3) for c in range(1, last + 2) if rng.random() < 0.35]
+        rows += [("f", sheet, r, c, rng.choice(texts)) for r, c in places]
+        ranges.append(("f", sheet, 1, first, last, height))
+    rows.append(next(r for r in rows if r[1] == 0 and r[2] > 1 and 2 <= r[3] <= 4))
+    cells = spark.createDataFrame(rows, "file_id string, sheet_idx long, row_idx long, col_idx long, value string")
+    kind = "file_id string, sheet_idx long, header_row long, first_col long, last_col long, last_row long"
+    return cells, spark.createDataFrame(ranges, kind)
+
+
+@pytest.mark.parametrize("seed, order, phased", [(1, "reference", False), (2, "clean_first", True), (3, "reference", True)])
+def test_filled_rows_equal_the_steps_one_by_one(spark, rows, seed, order, phased):
+    cells, ranges = odd_cells(spark, seed)
+    grid = S.dense_grid(cells, ranges, ["c"])
+    if phased:
+        phases = C.lone_phases(grid)
+        assert rows(C.phase_rows(cells, ranges, ["c"], 4)) == rows(phases)
+        grid = grid.join(phases.select(*C.ROW), C.ROW, "left_anti")
+    if order == "clean_first":
+        grid = C.drop_parasitic_rows(C.drop_empty_rows(grid))
+    want = C.drop_empty_rows(C.fill_right(C.fill_down(grid)))
+    found = C.filled_rows(cells, ranges, order, phased, ["c"], width=4)
+    each = found.select(*C.ROW, F.inline("cells"))
+    assert rows(each) == rows(want, *each.columns)
+    # The columns with their fields, one of them for two fields, and rows that only summarize.
+    columns = want.select(*C.COLUMN).distinct().where("col_idx != 3")
+    told = columns.withColumn("field", F.concat(F.lit("x"), F.col("col_idx").cast("string")))
+    told = told.unionByName(columns.where("col_idx = 2").withColumn("field", F.lit("y")))
+    shown = C.with_columns(found, told, columns).select(*C.ROW, F.inline("shown"))
+    plain = C.drop_parasitic_rows(want.join(told, C.COLUMN))
+    assert rows(shown) == rows(plain, *shown.columns)
+
+
+def test_filling_a_grid_shuffles_it_once(spark):
+    cells, ranges = odd_cells(spark, 4)
+    low = ranges.where("last_row < 20")
+    plan = C.filled_rows(cells, low, tokens=["c"])._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("Initial Plan")[-1]
+    # The marks of the blocks, then cells and marks together.
+    assert initial.count("Exchange hashpartitioning") <= 2
+    assert "SortMergeJoin" not in initial
