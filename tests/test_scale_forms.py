@@ -192,6 +192,20 @@ def test_archive_moves_once(spark, tmp_path):
     assert [p.name for p in inbox.iterdir()] == ["c.xlsx"]
 
 
+def test_archive_moves_in_many_tasks(spark, tmp_path):
+    rows = [(f"{tmp_path}/in/{i}.xlsx", i, "OK") for i in range(40)]
+    (tmp_path / "in").mkdir()
+    for path, i, _ in rows:
+        (tmp_path / "in" / f"{i}.xlsx").write_text(str(i))
+    archive = Archive(spark, str(tmp_path / "store"), str(tmp_path / "old"))
+    archive.plan(spark.createDataFrame(rows, "file_id string, chrono_id long, status string"), "b1")
+    archive.move("b1")
+    done = archive.files()
+    assert done.where(F.col("state") == MOVED).count() == 40
+    # One file of rows per task that had any; these few bytes were one task before.
+    assert done.select(F.input_file_name()).distinct().count() > 1
+
+
 def test_streamed_intake_archives_finished_batches(spark, tmp_path):
     from checks.q_io import workbook_bytes
     from gridloom.streaming.intake import archive_rest, intake_files
