@@ -9,8 +9,8 @@ The probability from which a run counts as a notice is set on rows that the fit
 given where a template of it agrees; all other notices are ``unknown``.
 
 Texts without any notice are passed over by a test that follows from the fitted weights
-(``LicenseModel.anchors``): words are put on a list, heaviest first, until a run without any of them
-cannot reach that probability whatever else it holds. So the test loses nothing that the model finds.
+(``LicenseModel.anchors``): words are put on a list, heavy and rare ones first, until a run without any of
+them cannot reach that probability whatever else it holds. So the test loses nothing that the model finds.
 All of this runs in Spark's own expressions.
 
 Nulls and edge cases: null and empty texts have no sentences; a row without an id is reported with a
@@ -133,6 +133,8 @@ AGREES = 0.8
 RESEMBLES = 0.5
 #: Words of a run.
 RUN = 96
+#: What is added to a word's frequency where anchors are chosen: words as rare as that count alike.
+RARE = 0.001
 _WORD = "[^a-z0-9.+-]+"
 
 
@@ -282,6 +284,25 @@ def _training(spark: SparkSession, df: DataFrame, text_col: str) -> DataFrame:
     return alone.unionByName(met.withColumn("held_out", left_out))
 
 
+def _pattern(words: list[str]) -> str:
+    """A regular expression of the words that tries common beginnings once."""
+    ends = "" in words
+    heads = sorted({w[0] for w in words if w})
+    if not heads:
+        return ""
+    rest = [re.escape(h) + _pattern([w[1:] for w in words if w[:1] == h]) for h in heads]
+    return f"(?:{'|'.join(rest)})" + ("?" if ends else "")
+
+
+def _frequency(rows: DataFrame, text_col: str) -> dict[str, float]:
+    """The part of the texts that holds each word of the notices; words that none holds are left out."""
+    held = F.array_intersect(words_of(F.col(text_col)), F.lit(sorted({w for g in VOCABULARY for w in g.split()})))
+    counted = rows.select(F.explode(held).alias("word")).groupBy("word").count()
+    total = rows.count()
+    # Not more rows than the notices have words.
+    return {r["word"]: r["count"] / total for r in counted.collect()}
+
+
 class LicenseModel:
     """The fitted classifier with the probability from which a run counts as a notice."""
 
@@ -300,7 +321,7 @@ class LicenseModel:
         high = seen[False].high if False in seen else 0.5
         low = seen[True].low if True in seen else 0.5
         self.believed = max(0.5, min(0.95, (high + low) / 2))
-        self.anchors = self._anchors()
+        self.anchors = self._anchors(_frequency(rows.where("label = 0"), "text"))
 
     def _features(self, rows: DataFrame) -> DataFrame:
         return self.tf.transform(rows.withColumn("grams", grams_of(words_of(F.col("text")))))
@@ -321,40 +342,48 @@ class LicenseModel:
         )
         return scored.select(*rows.columns, F.inline(likely))
 
-    def _anchors(self) -> list[str]:
+    def _anchors(self, frequency: dict[str, float]) -> list[str]:
         """Words without any of which no run reaches ``believed``.
 
         A family's odds against no notice are at most those of its intercept and of all its positive
-        weights; words are taken, heaviest first, until the n-grams without them leave too little.
+        weights; words are taken until the n-grams without them leave too little: those that take most
+        for the part of other texts that holds them. Then those go that are not needed, common ones first.
         """
         weights, start = self.model.coefficientMatrix.toArray(), self.model.interceptVector.toArray()
         gain = {}
         for gram in VOCABULARY:
             place = self.tf.indexOf(gram)
             gain[gram] = [max(0.0, w[place] - weights[0][place]) for w in weights[1:]]
-        left = {g: gs for g, gs in gain.items() if any(gs)}
+        gain = {g: gs for g, gs in gain.items() if any(gs)}
         found: list[str] = []
 
-        def odds() -> float:
+        def without(words: list[str]) -> dict[str, list[float]]:
+            return {g: gs for g, gs in gain.items() if not any(w in words for w in g.split())}
+
+        def reached(left: dict[str, list[float]]) -> bool:
             reach = (sum(gs[k] for gs in left.values()) + start[k + 1] - start[0] for k in range(len(weights) - 1))
-            return sum(math.exp(r) for r in reach)
+            return sum(math.exp(r) for r in reach) >= self.believed / (1 - self.believed)
 
-        while left and odds() >= self.believed / (1 - self.believed):
+        left = gain
+        while left and reached(left):
             heavy: dict[str, float] = {}
             for gram, gs in left.items():
                 for word in set(gram.split()):
                     heavy[word] = heavy.get(word, 0.0) + max(gs)
-            word = max(sorted(heavy), key=heavy.get)
-            found.append(word)
-            left = {g: gs for g, gs in left.items() if word not in g.split()}
-        if odds() >= self.believed / (1 - self.believed):
+            found.append(max(sorted(heavy), key=lambda w: heavy[w] / (frequency.get(w, 0.0) + RARE)))
+            left = without(found)
+        if reached(left):
             raise ValueError("the training rows tell notices and other text too little apart")
+        for word in sorted(found, key=lambda w: (-frequency.get(w, 0.0), w)):
+            rest = [w for w in found if w != word]
+            if not reached(without(rest)):
+                found = rest
         return found
 
     def passed(self, text: Column) -> Column:
-        """Whether the text holds an anchor; parts of words count too, which only lets more through."""
-        words = "|".join(re.escape(w) for w in sorted(self.anchors))
-        return F.rlike(F.lower(text), F.lit(f"(?<![a-z0-9])(?:{words})"))
+        """Whether the text holds an anchor; parts between points and hyphens count too, which only lets
+        more through."""
+        return F.rlike(F.lower(text), F.lit(f"(?<![a-z0-9+]){_pattern(self.anchors)}(?![a-z0-9+])"))
 
     def classify(self, rows: DataFrame) -> DataFrame:
         """``rows`` that are notices, with family, probability and agreement."""

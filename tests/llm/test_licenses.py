@@ -1,11 +1,12 @@
 """Licence notices: wrapped headers, short forms, unlisted licences, and texts without any."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm.licenses import UNKNOWN, LicenseModel, scan_licenses, sentences
+from gridloom.llm.licenses import UNKNOWN, LicenseModel, _pattern, scan_licenses, sentences
 
 WRAPPED = {
     "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and '
@@ -88,5 +89,25 @@ def test_the_word_test_loses_no_notice(spark, found):
     assert sorted(map(str, every.select(key).collect())) == sorted(map(str, passed.select(key).collect()))
 
 
+def test_texts_of_common_words_are_passed_over(spark):
+    """Words that most texts hold are no anchors, though notices hold them as well."""
+    dice = random.Random(8)
+    words = "the of is this and under a any use with can house river stone city walks work you in to".split()
+    texts = [(n, " ".join(dice.choices(words, k=9)).capitalize() + ".") for n in range(600)]
+    notices = [(1000, "Released under the MIT License."), (1001, "CC0"), (1002, "Rights? All rights reserved...")]
+    docs = spark.createDataFrame(texts + notices, "doc_id long, text string")
+    model = LicenseModel(spark, docs)
+    passed = [r.doc_id for r in docs.where(model.passed(F.col("text"))).select("doc_id").collect()]
+    assert sorted(i for i in passed if i >= 1000) == [1000, 1001, 1002]
+    assert len(passed) < 300
+
+
+def test_the_pattern_finds_whole_words_alone():
+    words = ["a", "any", "by", "by-sa", "4.0"]
+    found = re.compile(f"(?<![a-z0-9+]){_pattern(words)}(?![a-z0-9+])")
+    assert all(found.search(f"x {w}. y") for w in words)
+    assert not any(found.search(t) for t in ["an", "anya", "bys", "4x0", "+a", "ba", ""])
+
+
 def test_an_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
