@@ -17,7 +17,7 @@ from gridloom.operators import growth
 from gridloom.operators.kpi import run_ids
 from gridloom.operators.resolvers import table_resolver
 from gridloom.session import scratch_path
-from gridloom.sinks.archive import archive_name
+from gridloom.sinks.archive import archive_name, file_system
 from gridloom.sinks.dictionaries import HEADER_KEYS, VALUE_KEYS, DictionaryStore
 from gridloom.sinks.store import Store
 from gridloom.sources import dictionaries as D
@@ -343,17 +343,38 @@ def update_counts(spark, sf):
     return store.dimension().select("id_chronogramme", "nom_chronogramme", "nb_injects")
 
 
+def _write_logs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come run by run, in line order: one file is open at a time, whatever its length."""
+    place = out = None
+    try:
+        for batch in batches:
+            for path, lines in batch.groupby("path", sort=False)["line"]:
+                if path != place:
+                    if out is not None:
+                        out.close()
+                    system, name = file_system(path)
+                    if place is None:
+                        system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                    place, out = path, system.open_output_stream(name)
+                out.write("".join(f"{line}\n" for line in lines).encode())
+            yield batch[["path"]].drop_duplicates()
+    finally:
+        if out is not None:
+            out.close()
+
+
 @query(
     "monitor_written_logs",
     f"""WITH {RUNS_SQL} SELECT log_name, chrono_id FROM runs""",
 )
 def monitor_written_logs(spark, sf):
-    """Run logs written as one folder of text per run, read back in line order."""
+    """Run logs written as one file of text per run, read back in line order."""
     base = scratch_path(spark, "run_logs")
-    lines = run_lines(spark, sf).withColumnRenamed("log_name", "run")
-    ordered = lines.repartition("run").sortWithinPartitions("run", "ord")
-    ordered.select("run", "line").write.partitionBy("run").text(base)
-    return run_ids(run_records(spark, base, "run=run_*.log"))
+    path = F.concat(F.lit(f"{base}/"), "log_name").alias("path")
+    lines = run_lines(spark, sf).select(path, "ord", "line")
+    ordered = lines.repartition("path").sortWithinPartitions("path", "ord").select("path", "line")
+    ordered.mapInPandas(_write_logs, "path string").write.format("noop").mode("overwrite").save()
+    return run_ids(run_records(spark, base))
 
 
 # Streams

@@ -1,9 +1,11 @@
 import json
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from checks.q_io import workbook_bytes
+from checks.q_io import _write_logs, workbook_bytes
 from gridloom.model import DIMENSION, FACT
 from gridloom.operators.resolvers import table_resolver
 from gridloom.session import cut_lineage, shared_dir
@@ -12,7 +14,7 @@ from gridloom.sinks.dictionaries import HEADER_KEYS, VALUE_KEYS, DictionaryStore
 from gridloom.sinks.store import Store
 from gridloom.sources import dictionaries as D
 from gridloom.sources.files import latest_file, list_files, require_latest, scan_workbooks
-from gridloom.sources.records import submissions_from_json
+from gridloom.sources.records import run_lines, submissions_from_json
 from gridloom.sources.workbooks import load_workbooks
 from gridloom.streaming.new_files import append_once, grow_dictionary, process_new_files
 
@@ -307,3 +309,14 @@ def test_repeated_batches_change_nothing(spark, tmp_path):
     append(rows, 0)
     append(rows.where("id_inject = 'a'"), 1)
     assert pairs(facts.facts().fillna("-"), "id_chronogramme", "id_inject") == [(1, "-"), (1, "a")]
+
+
+def test_a_run_log_is_one_file_whose_lines_may_come_in_several_batches(spark, tmp_path):
+    name = {n: f"{tmp_path}/logs/run_{n}.log" for n in "ab"}
+    rows = [(name["a"], "1"), (name["a"], "2"), (name["a"], "3"), (name["b"], "4")]
+    batches = [pd.DataFrame(part, columns=["path", "line"]) for part in (rows[:1], rows[1:2], rows[2:])]
+    assert {p for out in _write_logs(iter(batches)) for p in out["path"]} == set(name.values())
+    assert {n: Path(p).read_text() for n, p in name.items()} == {"a": "1\n2\n3\n", "b": "4\n"}
+    read = run_lines(spark, f"{tmp_path}/logs")
+    found = [(r.log_name, r.line) for r in read.orderBy("log_name", "ord").collect()]
+    assert found == [("run_a.log", "1"), ("run_a.log", "2"), ("run_a.log", "3"), ("run_b.log", "4")]
