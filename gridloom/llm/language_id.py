@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import cut_lineage, kept, sliced, utf8
+from gridloom.llm.common import cut_lineage, kept, nothing_kept, sliced, utf8
 from gridloom.llm.words import NOT_LETTERS, STRETCH, hashed_words, mixed, stretches
 
 #: Characters of an n-gram.
@@ -40,7 +40,7 @@ MOST_GRAMS = 4_000_000
 UNUSUAL = 1e-4
 MARGIN = 4.0
 #: Words that a task counts before it hands the counts on.
-COUNTED = 300_000
+COUNTED = 100_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START, _END = "\x02", "\x03"
 
@@ -55,39 +55,41 @@ def is_held_out(ident: Column) -> Column:
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """lang, word and n over all texts; rows have lang and data."""
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # The worker may come from another operator, whose tables it still holds.
+    nothing_kept()
+    chunks: dict[str, Counter] = {}
+
+    def out() -> pa.RecordBatch:
+        words: dict[str, Counter] = {}
+        for lang, found in chunks.items():
+            own = words.setdefault(lang, Counter())
+            for chunk, n in found.items():
+                for word in letter_words(chunk):
+                    own[word] += n
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang for lang, c in words.items() for _ in c], pa.string()),
+                pa.array([w for c in words.values() for w in c], pa.string()),
+                pa.array([n for c in words.values() for n in c.values()], pa.int64()),
+            ],
+            names=["lang", "word", "n"],
+        )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks: dict[str, Counter] = {}
-
-        def out() -> pa.RecordBatch:
-            words: dict[str, Counter] = {}
-            for lang, found in chunks.items():
-                own = words.setdefault(lang, Counter())
-                for chunk, n in found.items():
-                    for word in letter_words(chunk):
-                        own[word] += n
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang for lang, c in words.items() for _ in c], pa.string()),
-                    pa.array([w for c in words.values() for w in c], pa.string()),
-                    pa.array([n for c in words.values() for n in c.values()], pa.int64()),
-                ],
-                names=["lang", "word", "n"],
-            )
+    for batch in batches:
+        for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data"), strict=True):
+            found = chunks.setdefault(lang, Counter())
+            for part in stretches(data.as_py()):
+                found.update(part.split())
+            if sum(map(len, chunks.values())) > COUNTED:
+                yield out()
+                chunks = {}
+    yield out()
 
-        for batch in batches:
-            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data"), strict=True):
-                found = chunks.setdefault(lang, Counter())
-                for part in stretches(data.as_py()):
-                    found.update(part.split())
-                if sum(map(len, chunks.values())) > COUNTED:
-                    yield out()
-                    chunks = {}
-        yield out()
-
-    counted = rows.mapInArrow(count, "lang string, word string, n long")
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """lang, word and n over all texts; rows have lang and data."""
+    counted = rows.mapInArrow(_count_words, "lang string, word string, n long")
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 

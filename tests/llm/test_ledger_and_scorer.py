@@ -4,8 +4,10 @@ import random
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from gridloom.llm import common, language_id
 from gridloom.llm.language_id import Scorer
 from gridloom.llm.packing import id_words, pieces_of
 from gridloom.llm.token_counts import CHANGES, TokenLedger, default_versions, one_state, token_counts
@@ -122,3 +124,22 @@ def test_scorer_does_not_depend_on_its_tables(most, fresh):
         assert (Scorer(Letters()).texts_bits([text])[0] == row).all()
     assert (scorer.texts_bits(texts) == together).all()
     assert len(scorer.large[0]) <= most
+
+
+def test_counting_words_lets_go_what_another_operator_kept(monkeypatch):
+    """A worker of a pipeline comes to the first stage with the tables of the last one."""
+    texts = [f"w{n % 7}a x{n}b the".encode() for n in range(50)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "data": texts})
+
+    def counted():
+        common.kept("tables of another", lambda: [0] * 10)
+        found = {}
+        for out in language_id._count_words(iter([batch])):
+            for word, n in zip(out.column("word").to_pylist(), out.column("n").to_pylist()):
+                found[word] = found.get(word, 0) + n
+        assert "tables of another" not in common._KEPT
+        return found
+
+    whole = counted()
+    monkeypatch.setattr(language_id, "COUNTED", 5)
+    assert counted() == whole and whole["the"] == 50
