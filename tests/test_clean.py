@@ -120,3 +120,20 @@ def test_filling_a_grid_shuffles_it_once(spark):
     # The marks of the blocks, then cells and marks together.
     assert initial.count("Exchange hashpartitioning") <= 2
     assert "SortMergeJoin" not in initial
+
+
+@pytest.mark.parametrize("order", ["reference", "clean_first"])
+def test_header_and_phase_rows_come_with_the_grid(spark, rows, order):
+    """One shuffle of the cells gives all three; "c" counts as empty below the header, not in it."""
+    cells, ranges = odd_cells(spark, 3)
+    more = [("f", 4, 5, c, t) for c, t in ((1, "c"), (1, "b"), (2, " x "), (4, "out"))]
+    more += [("f", 4, 6, 1, "c"), ("f", 4, 6, 1, "a"), ("f", 4, 7, 3, "Phase 2")]
+    cells = cells.unionByName(spark.createDataFrame(more, cells.schema))
+    ranges = ranges.unionByName(spark.createDataFrame([("f", 4, 5, 1, 3, 7)], ranges.schema))
+    grid = C.grid_rows(cells, ranges, order, True, ["c"], width=3)
+    heads = S.header_cells(cells, ranges.where("last_row > header_row"))
+    assert rows(C.heads_of(grid)) == rows(heads) and heads.where("raw_header = 'c'").count() >= 1
+    assert rows(C.phases_of(grid)) == rows(C.phase_rows(cells, ranges, ["c"], 3))
+    low = C.grid_rows(cells, ranges.where("last_row < 20"), order, True, ["c"])
+    initial = low._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert initial.count("Exchange hashpartitioning") <= 2 and "Join" not in initial

@@ -178,3 +178,24 @@ def test_establishments_are_unique(spark):
     linked = corrections.link_establishments(dimension, known)
     ids = {r.id_chronogramme: r.id_etablissement for r in linked.collect()}
     assert ids[1] == ids[2] != ids[3] and ids[4] is None
+
+
+def test_context_meets_the_summaries_not_the_rows(spark):
+    """Rows are moved once, for their numbers; those of a file without a submission are left out."""
+    known = submissions(spark)
+    name = known.first().file_id
+    rows = spark.createDataFrame([(name, 1, None), (name, 9, "x"), ("nobody", 1, "y")], "file_id string, row_idx long, id_inject string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = E.enrich(rows, known, width=4)
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        found = {r.row_idx: (r.id_inject, r.nb_injects, r.nom_chronogramme) for r in done.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    title = known.first().nom_chronogramme
+    assert found == {1: ("1", 2, title), 9: ("x", 2, title)}
+    # Rows by bucket; summaries by bucket, by file and by bucket again; the submissions by file.
+    assert plan.count("Exchange hashpartitioning") <= 5
+    again = E.add_context(rows, known)
+    assert sorted(done.columns) == sorted({*again.columns, "numero_inject", "nb_injects"})

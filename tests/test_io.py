@@ -320,3 +320,19 @@ def test_a_run_log_is_one_file_whose_lines_may_come_in_several_batches(spark, tm
     read = run_lines(spark, f"{tmp_path}/logs")
     found = [(r.log_name, r.line) for r in read.orderBy("log_name", "ord").collect()]
     assert found == [("run_a.log", "1"), ("run_a.log", "2"), ("run_a.log", "3"), ("run_b.log", "4")]
+
+
+def test_a_dictionary_starts_once(spark, tmp_path):
+    store = DictionaryStore(spark, f"{tmp_path}/d", HEADER_KEYS)
+    entries = spark.createDataFrame([("a", "x"), ("b", "y")], "raw string, standard string")
+    assert store.start(entries) == 1 and store.read().count() == 2
+    with pytest.raises(ValueError, match="has entries"):
+        store.start(entries)
+    store.add(spark.createDataFrame([("a", "z")], "raw string, standard string"))
+    assert {r.raw: r.standard for r in store.read().collect()} == {"a": "z", "b": "y"}
+
+
+def test_scratch_tables_are_packed(spark):
+    """Half of what the flow writes are such tables."""
+    text = spark.range(20_000).select(F.concat(F.lit("ligne "), F.sha1(F.col("id").cast("string"))).alias("t"))
+    assert all(".zstd." in f for f in cut_lineage(text, "packed").inputFiles())
