@@ -1,5 +1,8 @@
+import io
 import json
+import zipfile
 from pathlib import Path
+from unittest import mock
 
 import pandas as pd
 import pytest
@@ -13,6 +16,7 @@ from gridloom.sinks.archive import archive_name
 from gridloom.sinks.dictionaries import HEADER_KEYS, VALUE_KEYS, DictionaryStore
 from gridloom.sinks.store import Store
 from gridloom.sources import dictionaries as D
+from gridloom.sources import workbooks
 from gridloom.sources.files import latest_file, list_files, require_latest, scan_workbooks
 from gridloom.sources.records import run_lines, submissions_from_json
 from gridloom.sources.workbooks import load_workbooks
@@ -336,3 +340,31 @@ def test_scratch_tables_are_packed(spark):
     """Half of what the flow writes are such tables."""
     text = spark.range(20_000).select(F.concat(F.lit("ligne "), F.sha1(F.col("id").cast("string"))).alias("t"))
     assert all(".zstd." in f for f in cut_lineage(text, "packed").inputFiles())
+
+
+def test_rows_and_cells_without_references():
+    """Rows count on from the last one that says its number, cells from the last one of their row."""
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    texts = f'<sst xmlns="{main}"><si><t>a</t></si><si><r><t>b</t></r><r><t>c</t></r><rPh><t>no</t></rPh></si><si><t/></si></sst>'
+    cell = '<c{} t="s"><v>{}</v></c>'
+    rows_of = [("", [("", 0), ("", 1)]), (' r="7"', [(' r="AB7"', 1), ("", 0)]), ("", [(' r="C8"', 0), ("", 2)])]
+    body = "".join(f"<row{r}>{''.join(cell.format(*c) for c in cells)}</row>" for r, cells in rows_of)
+    sheet = f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>'
+    plain, odd = workbook_bytes({"S": {1: {1: "x"}}}), io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(plain)) as book, zipfile.ZipFile(odd, "w") as out:
+        for name in book.namelist():
+            new = {"xl/sharedStrings.xml": texts, "xl/worksheets/sheet1.xml": sheet}.get(name, book.read(name))
+            out.writestr(name, new)
+    seen = []
+    starts = workbooks.ET.iterparse
+
+    def counted(*args):
+        for found in starts(*args):
+            seen.append(found)
+            yield found
+
+    with mock.patch.object(workbooks.ET, "iterparse", counted):
+        found = [r[3:6] for r in workbooks._read("odd", odd.getvalue())]
+    assert found == [(1, 1, "a"), (1, 2, "bc"), (7, 28, "bc"), (7, 29, "a"), (8, 3, "a"), (8, 29, None)]
+    # One event per element: six cells with a value each, three rows, the sheet and its data.
+    assert len(seen) == 6 * 2 + 3 + 2
