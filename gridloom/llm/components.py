@@ -1,7 +1,7 @@
 """Connected components of a link table, by alternating large-star and small-star steps.
 
 Every step is an aggregation (combined before the shuffle) and a join on slim rows; the links are
-written after each round, so a lost executor costs one round at most. The number of rounds grows with
+written after each step, so a lost executor costs one step at most. The number of rounds grows with
 the logarithm of the longest chain.
 """
 
@@ -14,18 +14,20 @@ from gridloom.llm.common import cut_lineage
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """Point neighbours at the least id around: larger ones (large) or smaller ones and self."""
-    back = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    around = links.union(back) if large else links.select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    )
-    around = around.distinct()
+    """Point neighbours at the least id around: larger ones (large) or smaller ones and self.
+
+    Links are distinct and go from larger to smaller ids, also those returned. Their plan holds them two to four
+    times, so they are to be written before.
+    """
+    around = links
+    if large:
+        around = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = around.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
     joined = around.join(least, "a")
     if large:
         moved = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), "m")
     else:
-        moved = joined.select(F.col("b").alias("a"), "m").union(least.select("a", "m"))
+        moved = joined.select(F.explode(F.array("b", "a")).alias("a"), "m")
     return moved.where("a != m").select("a", F.col("m").alias("b")).distinct()
 
 
@@ -41,4 +43,6 @@ def components(links: DataFrame) -> DataFrame:
                 links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             )
         seen = now
-        links = cut_lineage(_star(_star(links, True), False), "links")
+        # One plan for both steps would hold the links a dozen times.
+        for large in (True, False):
+            links = cut_lineage(_star(links, large), "links")

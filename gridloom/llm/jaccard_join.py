@@ -293,9 +293,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, gram: int, percent: int) -> Dat
     return _kept(_with_both(docs, likely, lambda grams: grams, gram), are, np.uint64)
 
 
-def _across(lists: DataFrame, links: DataFrame) -> DataFrame:
+def _across(lists: DataFrame, linked: DataFrame) -> DataFrame:
     """Entries of the lists that hold several components, with theirs and the list's largest."""
-    linked = cut_lineage(components(links), "linked")
     lists = lookup_join(lists, linked, ["id"], ["key"])
     lists = cut_lineage(lists.withColumn("component", F.coalesce("component", "id")), "lists")
     parts = lists.groupBy("key", "component").agg(F.count("*").alias("k"))
@@ -360,8 +359,17 @@ def near_duplicates(
     tested = cut_lineage(pairs(stars, "id", "hub_id"), "stars")
     links = cut_lineage(_verified(one, tested, gram, percent), "links")
     lists = lists.where("listed = 0").select("key", "c", "n", "id", "left")
+    linked = cut_lineage(components(links), "linked")
+    several = _across(lists, linked)
+
+    def similar(met: DataFrame) -> DataFrame | None:
+        """The similar ones of the pairs met; None if there are none, and components stay as they are."""
+        if met.isEmpty():
+            return None
+        found = cut_lineage(_verified(one, met, gram, percent), "links")
+        return None if found.isEmpty() else found
+
     for turn in range(ROUNDS):
-        several = _across(lists, links)
         part = F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / TOGETHER))
         order = W.partitionBy("key", part).orderBy(F.xxhash64(F.lit(turn), "key", "id"), "id")
         inside = F.when(F.col("component") == F.col("main"), F.struct("id", "n", "left"))
@@ -369,11 +377,13 @@ def near_duplicates(
         met = several.withColumn("met", before).where("component != main AND met IS NOT NULL")
         met = met.where(near("n", "left", "met.n", "met.left")).withColumn("y", F.col("met.id"))
         met = cut_lineage(pairs(met, "id", "y").join(tested, ["a", "b"], "left_anti"), "met")
-        links = links.union(cut_lineage(_verified(one, met, gram, percent), "links"))
-        tested = tested.union(met)
+        tested, found = tested.union(met), similar(met)
+        if found is not None:
+            links = links.union(found)
+            linked = cut_lineage(components(links), "linked")
+        several = _across(lists, linked)
 
     # What is still apart: across components every pair of a list is compared.
-    several = _across(lists, links)
     side = several.where("component != main").select(
         "key",
         F.col("id").alias("x"),
@@ -384,10 +394,11 @@ def near_duplicates(
     apart = (F.col("xc") != F.col("component")) & near("xn", "x_left", "n", "left")
     across = pairs(side.join(several, "key").where(apart), "x", "id")
     across = cut_lineage(across.join(tested, ["a", "b"], "left_anti"), "across")
-    links = links.union(cut_lineage(_verified(one, across, gram, percent), "links"))
-    found = cut_lineage(components(links), "components")
+    found = similar(across)
+    if found is not None:
+        linked = cut_lineage(components(links.union(found)), "linked")
 
-    out = lookup_join(sets, found.withColumnRenamed("id", "first"), ["first"], ["id"])
+    out = lookup_join(sets, linked.withColumnRenamed("id", "first"), ["first"], ["id"])
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),

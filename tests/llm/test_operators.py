@@ -19,6 +19,7 @@ from gridloom.llm.packing_plan import packing_plan
 from gridloom.llm.sharding import greedy, shard_documents, smallest
 from gridloom.llm.token_counts import CHANGES, TokenLedger
 from gridloom.llm.warc import archive_pages, read_records
+from gridloom.session import cut_lineage
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -93,6 +94,41 @@ def test_components_of_a_chain(spark):
     assert found == {**{i: 0 for i in range(41)}, 90: 90, 99: 90}
 
 
+def test_components_of_a_random_graph(spark):
+    rng = np.random.default_rng(4)
+    pairs = rng.integers(0, 300, (220, 2)).tolist() + [[400, k] for k in range(401, 440)] + [[7, 7]]
+    least = {x: x for pair in pairs for x in pair}
+    for _ in least:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    found = components(spark.createDataFrame(pairs + pairs[:9], "a long, b long")).collect()
+    assert len(found) == len({r.id for r in found})
+    assert {r.id: r.component for r in found} == {x: least[x] for p in pairs if p[0] != p[1] for x in p}
+
+
+def test_plans_of_components_stay_small(spark, monkeypatch):
+    plans = []
+
+    def planned(df, name="table"):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return cut_lineage(df, name)
+
+    monkeypatch.setattr("gridloom.llm.components.cut_lineage", planned)
+    links = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+    assert {r.component for r in components(links).collect()} == {0}
+    assert max(p.count("FileScan") for p in plans) <= 4
+
+
+def test_rounds_without_pairs_verify_nothing(spark, monkeypatch):
+    calls = []
+    real = jj._verified
+    monkeypatch.setattr(jj, "_verified", lambda *a: calls.append(1) or real(*a))
+    words = prose(9, 200)
+    texts = [(0, " ".join(words)), (1, " ".join(words[:-1])), (2, " ".join(prose(10, 200)))]
+    found = {r.doc_id: r.component_id for r in jj.near_duplicates(documents(spark, texts)).collect()}
+    assert found == {0: 0, 1: 0, 2: 2} and len(calls) == 1
+
+
 @pytest.mark.parametrize("values", [3, 65_536])
 def test_shards(spark, values):
     texts = [(i, "x" * (i * 37 % 90)) for i in range(200)] + [(500, None), (501, "y" * 5000)]
