@@ -1,12 +1,14 @@
-"""Rows stay rows between the grid and the dictionary."""
+"""Rows stay rows between the grid and the dictionary; large tables of sheets move no cells for their choice."""
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import q_flow
 from gridloom.operators import clean as C
 from gridloom.operators import headers as H
 from gridloom.operators import structure as S
 from gridloom.operators import values as V
+from gridloom.plans.intake import Options
 from test_clean import odd_cells
 
 FIELDS = ["a", "b", "c", "d"]
@@ -56,6 +58,33 @@ def test_rows_meet_the_dictionary_as_they_are(spark, rows):
     assert "Aggregate" not in plan and "Exchange" not in plan
 
 
+@pytest.fixture
+def documents(spark, tmp_path):
+    """Workbooks of four sheets, the fullest of which is the main one; two texts of one document in the last."""
+    table = "type,b b,cc c,dddd\nx,1,,p\n,2,y,\ntotal,,,\nphase 1,,,\nu,,w,\n\n\nlate,l,l,l"
+    texts = [table if k % 4 == 2 else f"a{k},b,c\n1,2,3" for k in range(12)] + [table.replace("x,1", "other,7")]
+    frame = [(min(k, 10) if k == 12 else k, t, "fr", f"s{k % 3}") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(frame, "doc_id long, text string, lang string, source string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_more_main_sheets_than_go_to_every_task(spark, rows, documents, monkeypatch, trim):
+    def stored():
+        return rows(q_flow._plan(spark, documents, Options(trim_bottom=trim)).rows)
+
+    want = stored()
+    assert len(want) > 3
+    monkeypatch.setattr(S, "MAIN_SHEETS", 0)
+    assert stored() == want
+    cells, main = spark.range(9).selectExpr("'f' AS file_id", "id AS sheet_idx"), spark.range(3).selectExpr("'f' AS file_id", "id AS sheet_idx")
+    # All cells were moved for this choice before.
+    assert S.near_main(cells, main) is cells
+    monkeypatch.setattr(S, "MAIN_SHEETS", 10)
+    assert S.near_main(cells, main).count() == 3
+
+
 def test_filling_down_takes_the_order_of_the_grid(spark):
     """One sort by column for the dense grid and for filling down; there were two."""
     cells, ranges = odd_cells(spark, 4)
